@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,25 +29,46 @@ SLACK = 0.01
 
 
 def usable(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
-    """(id, v): v array<float>, of length 1."""
+    """(id, v): v the bytes of ``dims`` floats, of length 1. Arrow arrays are normalised as whole batches; expressions over elements would cost the JVM ten times as much."""
     require(df, key, vector)
-    v = F.transform(col(vector), lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda a, x: a + x * x))
-    rows = df.select(col(key).cast("string").alias("id"), v.alias("w")).where(F.col("id").isNotNull() & (F.size("w") == dims)).select("id", "w", norm.alias("n"))
-    return rows.where("n > 0 and n < double('infinity') and not isnan(n)").select("id", F.expr("transform(w, x -> cast(x / n as float))").alias("v"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pc.and_(pc.is_valid(b["id"]), pc.fill_null(pc.equal(pc.list_value_length(b["w"]), dims), False)))
+            x = b["w"].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)  # a null element becomes NaN
+            with np.errstate(all="ignore"):
+                n = np.linalg.norm(x, axis=1)
+                good = (n > 0) & np.isfinite(n)
+                v = (x[good] / n[good, None]).astype(np.float32)
+            yield pa.RecordBatch.from_pydict({"id": b["id"].filter(pa.array(good)), "v": packed(v)})
 
-def _matrix(a: pa.Array, dims: int) -> np.ndarray:
-    return a.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return df.select(col(key).cast("string").alias("id"), col(vector).alias("w")).mapInArrow(run, "id string, v binary")
+
+
+def packed(v: np.ndarray) -> pa.Array:
+    """Rows as binary values, without a Python object for each."""
+    v = np.ascontiguousarray(v)
+    size = v.shape[1] * v.itemsize
+    offsets = np.arange(len(v) + 1, dtype=np.int32) * size
+    return pa.Array.from_buffers(pa.binary(), len(v), [None, pa.py_buffer(offsets), pa.py_buffer(v.tobytes())])
+
+
+def unpacked(a: pa.Array | pa.ChunkedArray, kind: type, dims: int) -> np.ndarray:
+    if isinstance(a, pa.ChunkedArray):
+        a = a.combine_chunks() if a.num_chunks != 1 else a.chunk(0)
+    if not len(a):
+        return np.zeros((0, dims), kind)
+    at = np.frombuffer(a.buffers()[1], np.int64 if a.type == pa.large_binary() else np.int32)[a.offset : a.offset + len(a) + 1]
+    return np.frombuffer(a.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).reshape(-1, dims)
 
 
 def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int, min_cosine: float | None, compact: bool, dims: int, seed: int = 5) -> DataFrame:
-    """(id_a, id_b, cosine): of each vector the best ``k`` members of the leaves it visits. ``vectors``: (id, v) of length 1, bounded copies."""
+    """(id_a, id_b, cosine): of each vector the best ``k`` members of the leaves it visits. ``vectors``: (id, v) of length 1, bounded copies; read three times (count, sample, routing), each a scan."""
     n = vectors.count()
     depth = max(1, math.ceil(math.log2(max(n, 2) / leaf_size)))
-    share = min(1.0, 2 * SAMPLE / max(n, 1))
-    sample = vectors.where(F.abs(F.xxhash64("id") % 1_000_003) < math.ceil(share * 1_000_003)).select("id", "v").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(SAMPLE).collect() if n else []
-    x = np.array([r["v"] for r in sample], np.float32).reshape(len(sample), dims)
+    share = min(1.0, SAMPLE / max(n, 1))
+    sample = sorted((r["id"], bytes(r["v"])) for r in vectors.where(F.abs(F.xxhash64("id") % 1_000_003) < math.ceil(share * 1_000_003)).limit(2 * SAMPLE).collect())
+    x = np.frombuffer(b"".join(v for _, v in sample), np.float32).reshape(len(sample), dims)
     forest = fit(x, trees, depth, seed)
     shared = vectors.sparkSession.sparkContext.broadcast((forest.directions, forest.cuts))
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,23 +76,22 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 b = whole.slice(at, 4096)
-                v = np.ascontiguousarray(_matrix(b["v"], dims), np.float32)
+                v = unpacked(b["v"], np.float32, dims)
                 leaf, own = forest.visits(v, max(visits, trees))
                 if compact:
                     scale = np.abs(v).max(axis=1, keepdims=True) / 127
-                    body = np.rint(v / scale).astype(np.int8).view(f"V{dims}").reshape(-1)
+                    body = np.rint(v / scale).astype(np.int8)
                 else:
-                    body = v.view(f"V{dims * 4}").reshape(-1)
+                    body = v
                 row = pa.array(np.repeat(np.arange(len(v)), leaf.shape[1]))
-                packed = pa.array(list(map(bytes, body)), pa.binary()).take(row)
                 once = np.ones(leaf.shape, bool)
                 for j in range(1, leaf.shape[1]):
                     once[:, j] = (leaf[:, :j] != leaf[:, j : j + 1]).all(axis=1)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf.reshape(-1)), "id": b["id"].take(row), "own": pa.array(np.tile(own, len(v))), "body": packed}).filter(pa.array(once.reshape(-1)))
+                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf.reshape(-1)), "id": b["id"].take(row), "own": pa.array(np.tile(own, len(v))), "body": packed(body).take(row)}).filter(pa.array(once.reshape(-1)))
 
     def rank(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        v = np.frombuffer(b"".join(table["body"].to_pylist()), np.int8 if compact else np.float32).reshape(-1, dims).astype(np.float32)
+        v = unpacked(table["body"], np.int8 if compact else np.float32, dims).astype(np.float32)
         if compact:
             v /= np.linalg.norm(v, axis=1, keepdims=True)
         ids = table["id"].combine_chunks() if isinstance(table["id"], pa.ChunkedArray) else table["id"]
@@ -137,8 +158,15 @@ def nearest(df: DataFrame, key: str, vector: str, k: int = 10, min_cosine: float
     if compact:
         pairs = got.groupBy("id_a", "id_b").agg(F.max("cosine").alias("c"))
         pairs = cut(pairs)
-        dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-        got = pairs.join(vectors.select(F.col("id").alias("id_a"), F.col("v").alias("va")), "id_a").join(vectors.select(F.col("id").alias("id_b"), F.col("v").alias("vb")), "id_b").select("id_a", "id_b", dot.alias("cosine"))
+        both = pairs.join(vectors.select(F.col("id").alias("id_a"), F.col("v").alias("va")), "id_a").join(vectors.select(F.col("id").alias("id_b"), F.col("v").alias("vb")), "id_b")
+
+        def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for x in batches:
+                a, b = (unpacked(x[c], np.float32, dims).astype(np.float64) for c in ("va", "vb"))
+                c = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
+                yield pa.RecordBatch.from_pydict({"id_a": x["id_a"], "id_b": x["id_b"], "cosine": pa.array(c)})
+
+        got = both.select("id_a", "id_b", "va", "vb").mapInArrow(rerank, "id_a string, id_b string, cosine double")
     if min_cosine is not None:
         got = got.where(F.col("cosine") >= min_cosine - 1e-9)
     got = best(got, k)
