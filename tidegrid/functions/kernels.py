@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 
@@ -38,7 +39,7 @@ def interpolating_spline(x: np.ndarray, y: np.ndarray, order: int) -> Callable[[
 
 
 def smoothing_spline(x: np.ndarray, y: np.ndarray, order: int, s: float | None = None) -> Callable[[np.ndarray], np.ndarray]:
-    """The least-squares spline with the fewest knots whose squared residuals sum to at most s (default: the number of points). Knots are added where the residuals are
+    """A least-squares spline with few knots whose squared residuals sum to at most s (default: the number of points). Knots are added where the residuals are
     largest. Past the ends the last polynomial goes on."""
     s = float(len(x)) if s is None else s
     inner = np.zeros(0)
@@ -52,14 +53,15 @@ def smoothing_spline(x: np.ndarray, y: np.ndarray, order: int, s: float | None =
         edges = np.r_[x[0], inner, x[-1]]
         part = np.clip(np.searchsorted(edges, x, side="right") - 1, 0, len(edges) - 2)
         worst = np.bincount(part, r2, len(edges) - 1)
-        for p in np.argsort(-worst):
-            own = x[(part == p)]
-            new = own[len(own) // 2] if len(own) > 2 else None
-            if new is not None and new not in inner and x[0] < new < x[-1]:
-                inner = np.sort(np.r_[inner, new])
-                break
-        else:
+        added = []
+        for p in np.argsort(-worst)[: max(1, len(worst) // 2)]:  # several at once, as their number is found by doubling
+            own = x[part == p]
+            if len(own) > 2 and x[0] < own[len(own) // 2] < x[-1]:
+                added.append(own[len(own) // 2])
+        added = np.setdiff1d(added, inner)[: len(x) - order - 1 - len(inner)]
+        if not len(added):
             break
+        inner = np.sort(np.r_[inner, added])
 
     def at(z: np.ndarray) -> np.ndarray:
         z = np.asarray(z, float)
@@ -110,22 +112,36 @@ def boxcox_lambda(y: np.ndarray, low: float = -5.0, high: float = 5.0) -> float:
 
 # seasonal-trend decomposition (Cleveland, Cleveland, McRae and Terpenning 1990)
 
-def _loess(y: np.ndarray, span: int, at: np.ndarray, robust: np.ndarray) -> np.ndarray:
-    """Local linear fits of the rows of y, which are evenly spaced, at places ``at``; tricube weights times ``robust``."""
-    n = y.shape[1]
+@lru_cache(64)
+def _windows(n: int, span: int, first: float, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbours and tricube weights for local fits at ``count`` places from ``first`` on, of n evenly spaced values. They depend on no data."""
+    at = first + np.arange(count, dtype=float)
     q = min(span, n)
-    first = np.clip(np.round(at).astype(int) - q // 2, 0, n - q)
-    near = first[:, None] + np.arange(q)
+    begin = np.clip(np.round(at).astype(int) - q // 2, 0, n - q)
+    near = begin[:, None] + np.arange(q)
     gap = np.abs(near - at[:, None])
     reach = gap.max(axis=1) + max(0, (span - n) // 2)
     w = np.clip(1 - (gap / np.maximum(reach, 1e-12)[:, None] * 0.999) ** 3, 0, None) ** 3
-    w = w[None] * robust[:, near]
-    w /= np.maximum(w.sum(axis=2, keepdims=True), 1e-300)
-    centre = (w * near).sum(axis=2)
-    off = near[None] - centre[..., None]
-    spread = (w * off**2).sum(axis=2)
-    lean = np.where(spread > 1e-12, (at[None] - centre) / np.where(spread > 1e-12, spread, 1), 0.0)
-    return (w * (1 + lean[..., None] * off) * y[:, near]).sum(axis=2)
+    return near, w, near - at[:, None]
+
+
+@lru_cache(64)
+def _smoother(n: int, span: int) -> np.ndarray:
+    """The local linear fit at all n places without robust weights, which is a matrix."""
+    return _loess(np.eye(n), span, 0.0, n, np.ones((1, n))).T
+
+
+def _loess(y: np.ndarray, span: int, first: float, count: int, robust: np.ndarray) -> np.ndarray:
+    """Local linear fits of the rows of y, which are evenly spaced; tricube weights times ``robust``. In moments around each place, so that one product a moment does."""
+    near, w, off = _windows(y.shape[1], span, first, count)
+    w = w * robust[:, near]
+    v = y[:, near]
+    wo = w * off
+    s0, s1, s2 = w.sum(axis=2), wo.sum(axis=2), (wo * off).sum(axis=2)
+    t0, t1 = (w * v).sum(axis=2), (wo * v).sum(axis=2)
+    det = s0 * s2 - s1 * s1
+    flat = det <= 1e-12 * np.maximum(s0 * s2, 1e-300)
+    return np.where(flat, t0 / np.maximum(s0, 1e-300), (s2 * t0 - s1 * t1) / np.where(flat, 1, det))
 
 
 def _mean(y: np.ndarray, k: int) -> np.ndarray:
@@ -140,7 +156,7 @@ def stl(y: np.ndarray, period: int, seasonal: int = 13, robust: bool = True) ->
         raise ValueError(f"{n} values are fewer than two periods of {period}")
     odd = lambda v: int(np.ceil(v)) + (int(np.ceil(v)) + 1) % 2
     trend_span, low_span = odd(1.5 * period / (1 - 1.5 / seasonal)), odd(period + (period + 1) % 2)
-    every = np.arange(n, dtype=float)
+    plain = True  # until there are robust weights
     rows = -(-n // period)
     weights, trend = np.ones(n), np.zeros(n)
     for _ in range(15 if robust else 1):
@@ -153,18 +169,18 @@ def stl(y: np.ndarray, period: int, seasonal: int = 13, robust: bool = True) ->
                 if not m or not len(phases):
                     continue
                 idx = phases[:, None] + period * np.arange(m)
-                c = _loess(d[idx], seasonal, np.arange(-1, m + 1, dtype=float), weights[idx])
+                c = _loess(d[idx], seasonal, -1.0, m + 2, weights[idx])
                 cycle[(phases[:, None] + period * np.arange(m + 2)).reshape(-1)] = c.reshape(-1)
             cycle = cycle[: n + 2 * period]
             low = _mean(_mean(_mean(cycle, period), period), 3)
-            low = _loess(low[None], low_span, every, np.ones((1, n)))[0]
+            low = _smoother(n, low_span) @ low
             season = cycle[period : period + n] - low
-            trend = _loess((y - season)[None], trend_span, every, weights[None])[0]
+            trend = _smoother(n, trend_span) @ (y - season) if plain else _loess((y - season)[None], trend_span, 0.0, n, weights[None])[0]
         rest = y - season - trend
         if robust:
             h = 6 * np.median(np.abs(rest))
             weights = np.clip(1 - (np.abs(rest) / h) ** 2, 0, None) ** 2 if h > 0 else np.ones(n)
-            weights = np.maximum(weights, 1e-6)
+            weights, plain = np.maximum(weights, 1e-6), False
     return season, trend, y - season - trend
 
 

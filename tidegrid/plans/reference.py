@@ -535,9 +535,9 @@ def metrics_by_slice(spark, d):
     return r6(art.metrics_by_slice(_results(spark, d), ["s_nationkey"]), *_NAMES, "bias")
 
 
-@query(f"with {RES} select s_nationkey, ds, round(sum(abs(y - y_hat)) / nullif(sum(abs(y)), 0), 6) wape, count(*) n_rows from res group by grouping sets ((s_nationkey), (ds), ())")
+@query(f"with {RES} select coalesce(s_nationkey, -1) s_nationkey, ds, round(sum(abs(y - y_hat)) / nullif(sum(abs(y)), 0), 6) wape, count(*) n_rows from res group by grouping sets ((s_nationkey), (ds), ())")
 def metrics_levels(spark, d):
-    return r6(art.metrics_by_slice(_results(spark, d), ["s_nationkey", D], [["s_nationkey"], [D], []]), "wape").select("s_nationkey", D, "wape", "n_rows")
+    return r6(art.metrics_by_slice(_results(spark, d), ["s_nationkey", D], [["s_nationkey"], [D], []]), "wape").select(F.coalesce("s_nationkey", F.lit(-1)).alias("s_nationkey"), D, "wape", "n_rows")
 
 
 @query(f"with {RES}, a as (select ds, s_nationkey, sum(abs(y - y_hat)) e from res group by 1, 2) select ds, s_nationkey, round(e, 6) abs_error, round(e / nullif(sum(e) over (partition by ds), 0), 6) error_share, row_number() over (partition by ds order by e desc nulls last, s_nationkey) contribution_rank from a")
@@ -603,7 +603,7 @@ def chunk_lines(spark, d):
     return retrieval.structural_chunks(_files(spark, d)).select("id", "file_path", "start_line", "end_line", F.md5("text").alias("body"))
 
 
-@query("""select case when n > 2000 then id || '#part' || (at // 1800 + 1) else id end id, md5(case when n > 2000 then substr(text, at + 1, 2000) else text end) body
+@query("""select case when n > 2000 then id || '#part' || cast(at / 1800 + 1 as bigint) else id end id, md5(case when n > 2000 then substr(text, at + 1, 2000) else text end) body
 from (select id, text, length(text) n, unnest(case when length(text) > 2000 then range(0, length(text), 1800) else [0] end) at from code_chunk)""")
 def chunk_overlap(spark, d):
     chunks = spark.read.parquet(f"{d}/code_chunk.parquet").select("id", "text")
