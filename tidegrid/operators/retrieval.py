@@ -23,7 +23,7 @@ def structural_chunks(files: DataFrame, path: str = "file_path", text: str = "te
     starts = F.filter(F.transform("_l", lambda x, i: F.when(x.rlike(opens), i + 1)), lambda i: i.isNotNull())
     rows = rows.withColumn("_s", starts)
     whole = F.size("_s") == 0
-    rows = rows.withColumn("_s", F.when(whole, F.array(F.lit(1))).otherwise(F.col("_s"))).withColumn("_w", whole)
+    rows = rows.withColumns({"_s": F.when(whole, F.array(F.lit(1))).otherwise(F.col("_s")), "_w": whole})
     rows = rows.select("*", F.posexplode("_s").alias("_k", "start_line"))
     rows = rows.withColumn("end_line", F.coalesce(F.get("_s", F.col("_k") + 1) - 1, F.size("_l")))
     body = F.array_join(F.slice("_l", F.col("start_line"), F.col("end_line") - F.col("start_line") + 1), "\n")
