@@ -4,7 +4,7 @@ Trees are fitted on a bounded sample; every vector is indexed in one leaf of eac
 visitors in one shuffle, as single bytes (``compact``) or floats; each leaf ranks its members for each visitor, and the best of all leaves are merged. Compact
 candidates are then reranked with the exact vectors.
 
-Defined results: a vector is usable if it has ``dims`` finite values, not all zero; others, and null ids, neither ask nor answer; rows that repeat count once; ties go to the smaller id;
+Defined results: a vector is usable if it has ``dims`` finite values, not all zero; others, and null ids, neither ask nor answer; rows that repeat count once (an id has one vector); ties go to the smaller id;
 of copies of one vector beyond ``k + 1`` only the first by id are indexed, and the rest get the first k of their class: that is exact, and no class of copies can fill a leaf.
 """
 
@@ -91,6 +91,9 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
 
     def rank(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
+        _, first = np.unique(pc.dictionary_encode(pc.cast(table["id"], pa.string())).combine_chunks().indices.to_numpy(), return_index=True)
+        if len(first) < table.num_rows:  # rows that repeat
+            table = table.take(pa.array(np.sort(first))).combine_chunks()
         v = unpacked(table["body"], np.int8 if compact else np.float32, dims).astype(np.float32)
         if compact:
             v /= np.linalg.norm(v, axis=1, keepdims=True)
