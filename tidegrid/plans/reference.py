@@ -603,8 +603,8 @@ def chunk_lines(spark, d):
     return retrieval.structural_chunks(_files(spark, d)).select("id", "file_path", "start_line", "end_line", F.md5("text").alias("body"))
 
 
-@query("""select case when n > 2000 then id || '#part' || cast(at / 1800 + 1 as bigint) else id end id, md5(case when n > 2000 then substr(text, at + 1, 2000) else text end) body
-from (select id, text, length(text) n, unnest(case when length(text) > 2000 then range(0, length(text), 1800) else [0] end) at from code_chunk)""")
+@query("""select case when n > 2000 then id || '#part' || cast(o / 1800 + 1 as bigint) else id end id, md5(case when n > 2000 then substr(text, o + 1, 2000) else text end) body
+from (select id, text, length(text) n, unnest(case when length(text) > 2000 then range(0, length(text), 1800) else [0] end) o from code_chunk)""")
 def chunk_overlap(spark, d):
     chunks = spark.read.parquet(f"{d}/code_chunk.parquet").select("id", "text")
     return retrieval.overlapping_parts(chunks).select("id", F.md5("text").alias("body"))
