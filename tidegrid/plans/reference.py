@@ -4,6 +4,7 @@ Panel W: supplier by week of shipping, quantity. Panel M: customer by month of o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,7 +16,9 @@ from tidegrid.operators import diagnostics as diag
 from tidegrid.operators import evaluate as ev
 from tidegrid.operators import flags, impute, panel, retrieval, transform
 from tidegrid.operators import forecast as fc
+from tidegrid.functions.common import checkpoint_dir
 from tidegrid.plans import pipeline
+from tidegrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,6 +99,43 @@ from mf left join customer on time_series_id = cast(c_custkey as varchar))"""
 
 # scans, cleaning, keys, periods
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("select n_nationkey, n_name, n_regionkey from nation")
+def view_scan(spark, d):
+    tables.as_view(tables.read_parquet(spark, f"{d}/nation.parquet"), "nation_view")
+    return tables.read_table(spark, "nation_view")
+
+
+@query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def csv_roundtrip(spark, d):
+    path = _folder(spark, "csv")
+    rows = tables.read_parquet(spark, f"{d}/supplier.parquet")
+    rows.write.csv(path, header=True)
+    return tables.read_csv(spark, path, rows.schema)
+
+
+@query("select o_orderkey, o_custkey, year(o_orderdate) y from orders")
+def parquet_roundtrip(spark, d):
+    path = _folder(spark, "parquet")
+    tables.write_parquet(orders(spark, d).withColumn("y", F.year("o_orderdate")), path, ("y",))
+    return tables.read_parquet(spark, path).select("o_orderkey", "o_custkey", "y")
+
+
+@query("select row_id, ds, y from ts_preprocessed where soldto_id = (select max(soldto_id) from ts_preprocessed)")
+def dimension_filter(spark, d):
+    rows = spark.read.parquet(f"{d}/ts_preprocessed.parquet")
+    return rows.join(F.broadcast(rows.agg(F.max("soldto_id").alias("soldto_id"))), "soldto_id").select("row_id", "ds", "y")
+
+
+@query("select 'long' part, count(*) n from ts_preprocessed where not is_short_series union all select 'short', count(*) from ts_preprocessed where is_short_series")
+def short_split(spark, d):
+    long, short = panel.split_short(spark.read.parquet(f"{d}/ts_preprocessed.parquet"))
+    return long.agg(F.lit("long").alias("part"), F.count("*").alias("n")).unionByName(short.agg(F.lit("short").alias("part"), F.count("*").alias("n")))
+
+
 @query("select l_returnflag, count(*) n, round(sum(l_quantity), 6) q from (select distinct * from lineitem) group by 1")
 def scan_dedup(spark, d):
     rows = lineitem(spark, d)
@@ -342,6 +382,19 @@ def dim_short_summary(spark, d):
     return r6(out, "short_series_ratio", "short_volume_ratio").withColumns({c: F.round(c, 2) for c in ("total_volume", "short_volume")})
 
 
+_BY = "s as (select time_series_id, bool_or(is_short_series) sh, sum(y) v from ms group by 1)"
+
+
+@query(f"with {MS}, {_BY}, k as (select distinct time_series_id, 'c_mktsegment' dim, c_mktsegment val from ms union select distinct time_series_id, 'c_nationkey', cast(c_nationkey as varchar) from ms) "
+       "select dim, val, count(distinct time_series_id) n_series, count(distinct case when sh then time_series_id end) n_short_series, round(sum(v), 2) total_volume from s join k using (time_series_id) group by 1, 2")
+def dims_short_summary(spark, d):
+    m, out = flagged_m(spark, d), None
+    for dim in ("c_mktsegment", "c_nationkey"):
+        one = diag.short_by_dimension(m, dim, G, "y").select(F.lit(dim).alias("dim"), F.col(dim).cast("string").alias("val"), "n_series", "n_short_series", F.round("total_volume", 2).alias("total_volume"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(f"with {MS} select c_nationkey, round(sum(y), 2) total_volume from ms where ds >= (select max(ds) from ms) - interval 364 day group by 1 order by 2 desc, 1 limit 15")
 def dim_volume_topn(spark, d):
     return diag.volume_by_dimension(flagged_m(spark, d), "c_nationkey", "y", 15, D, 52).withColumn("total_volume", F.round("total_volume", 2))
@@ -649,11 +702,11 @@ def last_turns(spark, d):
 
 
 @query("""with r as (select *, row_number() over (partition by file_path order by start_line, id) rank from code_chunk)
-select file_path, md5(string_agg('[' || rank || '] ' || file_path || ' :: ' || coalesce(object_name, '-') || ' (lines ' || start_line || '-' || end_line || ')' || chr(10) || text || chr(10) || repeat('-', 40), chr(10) order by rank)) context from r group by 1""")
+select file_path, md5(string_agg('[' || rank || '] ' || file_path || ' :: ' || coalesce(object_name, '-') || ' (lines ' || start_line || '-' || end_line || ')' || chr(10) || text || chr(10) || repeat('-', 40), chr(10) order by rank)) context from r where rank <= 8 group by 1""")
 def context_block(spark, d):
     w = Window.partitionBy("file_path").orderBy("start_line", "id")
     ranked = spark.read.parquet(f"{d}/code_chunk.parquet").withColumn("rank", F.row_number().over(w))
-    return retrieval.context_block(ranked, "rank", "file_path").select("file_path", F.md5("context").alias("context"))
+    return retrieval.context_block(ranked.where("rank <= 8"), "rank", "file_path").select("file_path", F.md5("context").alias("context"))
 
 
 @query()
