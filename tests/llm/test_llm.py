@@ -58,6 +58,12 @@ def test_recall_of_all_neighbours(vectors):
     assert (got.groupby("id_a").size() == 10).all()
 
 
+def test_largest():
+    x = np.random.default_rng(5).normal(size=(7, 5003)).astype(np.float32)
+    got = neighbours.largest(x, 10)
+    assert (np.sort(np.take_along_axis(x, got, 1), axis=1) == np.sort(x, axis=1)[:, -10:]).all() and neighbours.largest(x[:, :4], 10).shape == (7, 4)
+
+
 def test_few_or_no_vectors(spark, vectors):
     df = vectors[0]
     assert neighbours.nearest(df.limit(0), "id", "e").count() == 0

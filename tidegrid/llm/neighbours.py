@@ -62,6 +62,20 @@ def unpacked(a: pa.Array | pa.ChunkedArray, kind: type, dims: int) -> np.ndarray
     return np.frombuffer(a.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).reshape(-1, dims)
 
 
+def largest(x: np.ndarray, k: int, width: int = 64) -> np.ndarray:
+    """Columns of the k largest values of each row. They lie in the k stretches of ``width`` columns with the largest maxima, so only these are partitioned."""
+    n, m = x.shape
+    if m <= 4 * k * width:
+        return np.argpartition(-x, min(k, m) - 1, axis=1)[:, :k] if m else np.zeros((n, 0), np.int64)
+    whole = m // width
+    peak = x[:, : whole * width].reshape(n, whole, width).max(axis=2)
+    few = np.argpartition(-peak, k - 1, axis=1)[:, :k]
+    at = (few[:, :, None] * width + np.arange(width)).reshape(n, -1)
+    at = np.concatenate([at, np.broadcast_to(np.arange(whole * width, m), (n, m - whole * width))], axis=1)
+    pick = np.argpartition(-np.take_along_axis(x, at, axis=1), k - 1, axis=1)[:, :k]
+    return np.take_along_axis(at, pick, axis=1)
+
+
 def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int, min_cosine: float | None, compact: bool, dims: int, seed: int = 5) -> DataFrame:
     """(id_a, id_b, cosine): of each vector the best ``k`` members of the leaves it visits. ``vectors``: (id, v) of length 1, bounded copies; read three times (count, sample, routing), each a scan."""
     n = vectors.count()
@@ -114,7 +128,7 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
             if min_cosine is not None:
                 r, c = np.nonzero(got >= bar)
             else:
-                top = np.argpartition(-got, min(keep, got.shape[1]) - 1, axis=1)[:, :keep] if got.shape[1] else np.zeros((len(got), 0), int)
+                top = largest(got, keep)
                 r, c = np.repeat(rows, top.shape[1]), top.reshape(-1)
                 ok = got[r, c] > -2.5
                 r, c = r[ok], c[ok]

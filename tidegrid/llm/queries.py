@@ -16,7 +16,7 @@ from tidegrid.llm.toxicity import score_documents
 
 def p3_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """The ten nearest of every vector. These vectors fill all directions evenly, so nine tenths of the true neighbours take half of all leaves: few, large ones."""
-    got = nearest(spark.read.parquet(f"{d}/rag_index.parquet"), "id", "embeddings", 10, None, trees=2, visits=8, leaf_size=_eighth(spark, d), compact=False)
+    got = nearest(spark.read.parquet(f"{d}/rag_index.parquet"), "id", "embeddings", 10, None, trees=2, visits=7, leaf_size=_eighth(spark, d), compact=False)
     return got.select("id_a", "id_b", F.round("cosine", 5).alias("cosine"))
 
 
