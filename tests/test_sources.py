@@ -76,3 +76,15 @@ def test_helpers(spark):
     with pytest.raises(ValueError):
         bounded_rows(df, 9, "rows")
     assert tables.quoted("a.b`c") == "`a`.`b``c`" and len(tables.to_pandas(df, 3)) == 3
+
+
+def test_console(spark):
+    from tidegrid.config import RetrievalConfig
+    from tidegrid.plans import console
+
+    index = retrieval.build_index(spark.createDataFrame([("a.py", "def fill gaps(x):\n  fill gaps"), ("b.py", "def other(y):\n  nothing")], "file_path string, text string"))
+    lines, said = iter(["", "files", "fill gaps", "more", "quit", "never"]), []
+    history = console.converse(index, RetrievalConfig(top_k=1, max_history_turns=1), ask=lambda _: next(lines), say=said.append)
+    assert said[0] == "a.py\nb.py" and "a.py :: fill" in said[1] and [q for q, _ in history] == ["more"]
+    assert console.converse(index, ask=lambda _: (_ for _ in ()).throw(EOFError)) == [] and console.environment()["spark"]
+    assert console.answer(index, "x", [("q", "a")], RetrievalConfig(), chat=lambda m: str(len(m))) == "4"
