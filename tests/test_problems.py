@@ -1,6 +1,7 @@
 """The general data problems against brute force, and on nulls, ties, copies, empty tables and clashing names."""
 
 import datetime as dt
+import decimal
 import math
 
 import numpy as np
@@ -107,6 +108,18 @@ def test_profile_of_nothing_but_nulls(spark):
     assert profile.departures(profile.load_profile(profile.value_counts(df, "load_id", ["num"]), (profile.Rule("num", None, profile.DECIMALS),))).count() == 0
 
 
+def test_profile_of_whole_and_decimal_numbers(spark):
+    rows = [(load, i * (10 if load == 3 else 1), (1 << 53) + i % 2, decimal.Decimal(i - 50) / 4) for load in range(1, 6) for i in range(1, 121)] + [(1, -18816, None, None)]
+    df = spark.createDataFrame(rows, "load_id int, y int, big long, price decimal(38,2)").withColumn("wide", F.expr("cast(price as decimal(38,30))"))
+    full = profile.quality_profile(df, "load_id", ["y", "big", "price", "wide"], (profile.Rule("y", "[0-9]{1,2}"),)).toPandas().set_index(["column_name", "load_id"])
+    span = lambda c, load: (full.loc[(c, load)].min_value, full.loc[(c, load)].max_value)
+    assert span("y", 1) == ("-18816", "120") and span("y", 2) == ("1", "120") and span("y", 3) == ("10", "1200")
+    assert span("big", 2) == ("9007199254740992", "9007199254740993") and full.loc[("big", 2)].n_distinct == 2
+    assert span("price", 2) == ("-12.25", "17.50") and [decimal.Decimal(v) for v in span("wide", 2)] == [decimal.Decimal("-12.25"), decimal.Decimal("17.5")]
+    assert full.loc[("y", 3)].psi > 5 and full.loc[("y", 3)].psi > 5 * full.loc[("y", 2)].psi
+    assert full.loc[("y", 1)].n_ill_formed == 22 and full.loc[("y", 3)].n_ill_formed == 111
+
+
 # 4: regular grid
 
 def test_grid(spark):

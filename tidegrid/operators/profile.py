@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.functions.common import col, is_float, require
 
@@ -45,24 +46,40 @@ def texts(*values: str) -> tuple[tuple[str, str], ...]:
     return tuple((v, "text = '" + v.replace("\\", "\\\\").replace("'", "\\'") + "'") for v in values)
 
 
+def _exact(df: DataFrame, name: str) -> tuple[str, str] | None:
+    """The column in which the exact values of an integer or decimal column stand, one for each scale, and its type."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return f"exact_{kind.scale}", f"decimal(38,{kind.scale})"
+    return ("exact_int", "bigint") if isinstance(kind, T.IntegralType) else None
+
+
 def value_counts(df: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
-    """(load_id, column_name, text, num, n): how often each value occurs. Floating numbers stand in num, all else in text; missing is null in both."""
+    """(load_id, column_name, text, num, exact_*, n): how often each value occurs. Numbers of any type stand in num, those that are no floating numbers also
+    exactly in ``exact_*`` and as they are written in text; all else stands in text; missing is null in all."""
     require(df, load, *columns)
+    exact = {c: e for c in columns if (e := _exact(df, c))}
+    kinds = dict(exact.values())
 
     def cell(c: str) -> Column:
         x = col(c)
-        text, num = (F.lit(None).cast("string"), F.when(~F.isnan(x), x.cast("double"))) if is_float(df, c) else (x.cast("string"), F.lit(None).cast("double"))
-        return F.struct(F.lit(c).alias("column_name"), text.alias("text"), num.alias("num"))
+        text = F.lit(None).cast("string") if is_float(df, c) or c in exact else x.cast("string")
+        num = F.when(~F.isnan(x), x.cast("double")) if is_float(df, c) else F.lit(None).cast("double")
+        whole = [(x if c in exact and exact[c][0] == e else F.lit(None)).cast(kind).alias(e) for e, kind in kinds.items()]
+        return F.struct(F.lit(c).alias("column_name"), text.alias("text"), num.alias("num"), *whole)
 
     cells = df.select(col(load).alias("load_id"), F.explode(F.array(*map(cell, columns))).alias("x")) if len(columns) > 1 else df.select(col(load).alias("load_id"), cell(columns[0]).alias("x"))
-    return cells.groupBy("load_id", "x.column_name", "x.text", "x.num").agg(F.count("*").alias("n"))
+    counts = cells.groupBy("load_id", "x.column_name", "x.text", "x.num", *(f"x.{e}" for e in kinds)).agg(F.count("*").alias("n"))
+    read = lambda c, kind: F.coalesce(c, *(F.col(e).cast(kind) for e in kinds)).alias(c)
+    return counts.select("load_id", "column_name", read("text", "string"), read("num", "double"), *kinds, "n")
 
 
 _GONE = "text is null and num is null"
 
 
 def load_profile(counts: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
-    """One row per load and column: rows, missing, distinct values, range, ill-formed values, and the map of watched shares."""
+    """One row per load and column: rows, missing, distinct values, range (of numbers by size, of texts by order), ill-formed values, and the map of watched shares."""
+    by_size = [*(c for c in counts.columns if c.startswith("exact_")), "num"]
     bad = F.lit(False)
     groups = []
     for r in rules:
@@ -74,8 +91,8 @@ def load_profile(counts: DataFrame, rules: Sequence[Rule] = ()) -> DataFrame:
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.expr(_GONE), F.col("n"))), F.lit(0)).alias("n_missing"),
         F.count(F.when(~F.expr(_GONE), 1)).alias("n_distinct"),
-        F.coalesce(F.min("num").cast("string"), F.min("text")).alias("min_value"),
-        F.coalesce(F.max("num").cast("string"), F.max("text")).alias("max_value"),
+        F.coalesce(*(F.min(c).cast("string") for c in by_size), F.min("text")).alias("min_value"),
+        F.coalesce(*(F.max(c).cast("string") for c in by_size), F.max("text")).alias("max_value"),
         F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("n_ill_formed"),
         (F.filter(F.array(*groups), lambda g: g.isNotNull()) if groups else F.array().cast("array<struct<group:string,n:bigint>>")).alias("groups"),
     )
@@ -97,7 +114,7 @@ def departures(profile: DataFrame, missing_by: float = 0.20, shift_by: float = 0
 
 def stability(counts: DataFrame) -> DataFrame:
     """(load_id, column_name, psi, chi2): each load's distribution against that of all other loads. Bins need no pass over the data:
-    sign and binary exponent for floating numbers, one of BINS hash buckets for texts, one bin for missing. Half a row is added to each bin."""
+    sign and binary exponent for numbers, one of BINS hash buckets for texts, one bin for missing. Half a row is added to each bin."""
     bin_ = F.when(F.expr(_GONE), "missing").when(F.col("num").isNotNull(), F.concat(F.signum("num").cast("string"), F.coalesce(F.floor(F.log2(F.abs(F.nullif(F.col("num"), F.lit(0.0))))).cast("string"), F.lit("")))).otherwise(F.pmod(F.xxhash64("text"), F.lit(BINS)).cast("string"))
     b = counts.groupBy("column_name", bin_.alias("bin"), "load_id").agg(F.sum("n").alias("n"))
     bins = b.select("column_name", "bin").distinct()
