@@ -120,6 +120,28 @@ def test_profile_of_whole_and_decimal_numbers(spark):
     assert full.loc[("y", 1)].n_ill_formed == 22 and full.loc[("y", 3)].n_ill_formed == 111
 
 
+def _departing(df, columns):
+    return {(r.column_name, r.load_id, r.departs) for r in profile.quality_profile(df, "load_id", columns).where("departs <> ''").collect()}
+
+
+def test_distributions_depart_in_every_column(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for load in range(1, 13):
+        for i in range(300):
+            kind = rng.choice(["city", "mall"]) if load != 2 else "depot"
+            y = int(rng.integers(1, 1000)) * (10 if load == 3 else 1)
+            price = None if load == 4 and i < 45 else float(rng.integers(1, 50)) * (100 if load == 5 else 1)
+            rows.append((load if load < 12 else None, str(kind), y, price, f"id{rng.integers(5000)}", bool(rng.random() < (1.0 if load in (6, 7, 8) else 0.4))))
+    df = spark.createDataFrame(rows, "load_id int, kind string, y int, price double, id string, flag boolean")
+    one = {("kind", 2, "distribution"), ("y", 3, "distribution"), ("price", 4, "distribution"), ("price", 5, "distribution"), *(("flag", n, "distribution") for n in (6, 7, 8))}
+    assert _departing(df, ["kind", "y", "price", "id", "flag"]) == one
+    assert _departing(df.where("load_id in (1, 2)"), ["kind", "y"]) == {("kind", 1, "distribution"), ("kind", 2, "distribution")}
+    assert _departing(df.where("load_id = 2"), ["kind", "y"]) == set()
+    few = df.withColumn("load_id", F.monotonically_increasing_id() % 200).where("kind <> 'depot'")  # loads of 16 rows that differ by chance
+    assert len(_departing(few, ["kind", "id"])) <= 2
+
+
 # 4: regular grid
 
 def test_grid(spark):

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.functions.common import col, is_float, require
+from tidegrid.functions.common import col, cut, is_float, require
 
 BINS = 64
 EPS = 1e-9
+#: A distribution departs from a PSI of PSI_BY on (the customary mark of a major change), if chance alone gives its chi-square once in a thousand times at most (CHI2_Z as a normal deviate).
+PSI_BY, CHI2_Z = 0.25, 3.09
 
 
 @dataclass(frozen=True)
@@ -113,7 +115,9 @@ def departures(profile: DataFrame, missing_by: float = 0.20, shift_by: float = 0
 
 
 def stability(counts: DataFrame) -> DataFrame:
-    """(load_id, column_name, psi, chi2): each load's distribution against that of all other loads. Bins need no pass over the data:
+    """(load_id, column_name, psi, chi2, changed, changed_present): each load's distribution against that of all other loads, and whether it departs, with the missing
+    and among present values. For that it is set against the usual loads, which are those with a PSI up to the median of the column (else one foreign load
+    would make all others seem foreign); without another usual load, against all others. Bins need no pass over the data:
     sign and binary exponent for numbers, one of BINS hash buckets for texts, one bin for missing. Half a row is added to each bin."""
     bin_ = F.when(F.expr(_GONE), "missing").when(F.col("num").isNotNull(), F.concat(F.signum("num").cast("string"), F.coalesce(F.floor(F.log2(F.abs(F.nullif(F.col("num"), F.lit(0.0))))).cast("string"), F.lit("")))).otherwise(F.pmod(F.xxhash64("text"), F.lit(BINS)).cast("string"))
     b = counts.groupBy("column_name", bin_.alias("bin"), "load_id").agg(F.sum("n").alias("n"))
@@ -125,15 +129,36 @@ def stability(counts: DataFrame) -> DataFrame:
     grid = grid.select("*", F.sum("n").over(all_).alias("bin_n"), F.sum("of").over(all_).alias("all_n"), k.alias("k"))
     p = (F.col("n") + 0.5) / (F.col("of") + 0.5 * F.col("k"))
     q = (F.col("bin_n") - F.col("n") + 0.5) / (F.col("all_n") - F.col("of") + 0.5 * F.col("k"))
-    return grid.groupBy("load_id", "column_name").agg(F.sum((p - q) * F.log(p / q)).alias("psi"), F.sum((F.col("n") - q * F.col("of")) ** 2 / (q * F.col("of"))).alias("chi2"))
+    own = Window.partitionBy("column_name", "load_id")
+    grid = grid.select("*", ((p - q) * F.log(p / q)).alias("psi_part"), ((F.col("n") - q * F.col("of")) ** 2 / (q * F.col("of"))).alias("chi2_part")).withColumn("psi", F.sum("psi_part").over(own))
+    grid = grid.withColumn("usual", (F.col("psi") <= F.median("psi").over(Window.partitionBy("column_name")) + EPS).cast("int"))
+    grid = grid.withColumns({f"usual_{c}": F.sum(F.col(c) * F.col("usual")).over(all_) - F.col(c) * F.col("usual") for c in ("n", "of")})
+    grid = grid.withColumn("m", F.when(F.col("usual_of") > 0, F.col("usual_n")).otherwise(F.col("bin_n") - F.col("n")).cast("double"))
+    here = {"changed": F.lit(True), "changed_present": F.col("bin") != "missing"}
+    grid = grid.withColumns({f"{x}_{kind}": F.sum(F.when(w, F.col(x)).cast("double")).over(own) for kind, w in here.items() for x in "nm"} | {f"k_{kind}": F.count(F.when(w, 1)).over(own) for kind, w in here.items()})
+
+    def changed(kind: str, where: Column) -> Column:
+        n, m, of, of_m, k = (F.col(c) for c in ("n", "m", f"n_{kind}", f"m_{kind}", f"k_{kind}"))
+        p, q = (n + 0.5) / F.nullif(of + 0.5 * k, F.lit(0.0)), (m + 0.5) / F.nullif(of_m + 0.5 * k, F.lit(0.0))
+        psi = F.sum(F.when(where, (p - q) * F.log(p / q)))
+        chi2 = F.sum(F.when(where, (n * of_m - m * of) ** 2 / F.nullif((n + m) * of * of_m, F.lit(0.0))))  # of two samples
+        df = F.nullif((F.count(F.when(where & (n + m > 0), 1)) - 1).cast("double"), F.lit(0.0))
+        least = df * (1 - 2 / (9 * df) + CHI2_Z * F.sqrt(F.abs(2 / (9 * df)))) ** 3  # Wilson and Hilferty
+        return F.coalesce((df > 0) & (psi >= PSI_BY - EPS) & (chi2 >= least), F.lit(False)).alias(kind)
+
+    return grid.groupBy("load_id", "column_name").agg(F.first("psi").alias("psi"), F.sum("chi2_part").alias("chi2"), *(changed(kind, w) for kind, w in here.items()))
 
 
 def quality_profile(df: DataFrame, load: str, columns: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
-    """The whole report, one row per load and column, with psi, chi2 and the kinds of departure. The counts are made once in
-    each of two branches that Spark reads from one exchange."""
-    counts = value_counts(df, load, columns)
+    """The whole report, one row per load and column, with psi, chi2 and the kinds of departure: those of ``departures`` and, for every column, ``distribution``,
+    where ``stability`` finds a change that the kind ``missing`` does not name already. A column whose values are others in each load by nature, as a load time, departs
+    in each. The counts are made once and written (``cut``): three branches read them, each other columns, so that no exchange would serve all."""
+    counts = cut(value_counts(df, load, columns))
     prof = load_profile(counts, rules)
-    kinds = departures(prof).groupBy("column_name", "load_id").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("departs"))
+    kinds = departures(prof).groupBy("column_name", "load_id").agg(F.collect_set("kind").alias("kinds"))
     on = lambda a, b: F.expr(f"{a}.column_name = {b}.column_name and {a}.load_id <=> {b}.load_id")
     got = prof.alias("p").join(stability(counts).alias("s"), on("p", "s"), "left").join(kinds.alias("k"), on("p", "k"), "left")
-    return got.select("p.column_name", "p.load_id", "n_rows", "n_missing", (F.col("n_missing") / F.col("n_rows")).alias("missing_share"), "n_distinct", "min_value", "max_value", "n_ill_formed", "psi", "chi2", F.coalesce("departs", F.lit("")).alias("departs"))
+    kinds = F.coalesce("kinds", F.array().cast("array<string>"))
+    changed = F.col("changed_present") | (F.col("changed") & ~F.array_contains(kinds, "missing"))
+    departs = F.array_join(F.array_sort(F.when(changed, F.array_append(kinds, F.lit("distribution"))).otherwise(kinds)), ",")
+    return got.select("p.column_name", "p.load_id", "n_rows", "n_missing", (F.col("n_missing") / F.col("n_rows")).alias("missing_share"), "n_distinct", "min_value", "max_value", "n_ill_formed", "psi", "chi2", departs.alias("departs"))
