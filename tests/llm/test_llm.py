@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chunking, leaks, mixing, neighbours, toxicity
+from tidegrid.llm import chunking, leaks, mixing, neighbours, queries, toxicity
 from tidegrid.llm.canonical import words
 from tidegrid.llm.forest import fit
 from tidegrid.llm.wand import BlockMaxIndex
@@ -58,6 +59,25 @@ def test_recall_of_all_neighbours(vectors):
     assert (got.groupby("id_a").size() == 10).all()
 
 
+@pytest.mark.parametrize("n", [2987, 29802])
+def test_recall_of_the_query_on_clean_tables(spark, tmp_path, n):
+    """No unusable row, and a number of rows that is no multiple of eight."""
+    whole = pq.read_table("/root/testdata/sf0.1/rag_index.parquet", columns=["id", "embeddings"]).to_pandas().drop_duplicates("id")
+    whole = whole[[e is not None and len(e) == 64 and 0 < np.linalg.norm(e) < np.inf for e in whole.embeddings]].head(n)
+    assert len(whole) == n and n % 8
+    whole.to_parquet(tmp_path / "rag_index.parquet")
+    got = queries.p3_neighbours(spark, str(tmp_path)).toPandas().groupby("id_a").id_b.apply(set)
+    v, ids = np.array(whole.embeddings.tolist(), np.float32), whole.id.to_numpy()
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    ask = np.random.default_rng(0).choice(n, 1000, replace=False)
+    s = v[ask] @ v.T
+    s[np.arange(1000), ask] = -2
+    top = np.argpartition(-s, 10, axis=1)[:, :10]
+    recall = np.mean([len(got[ids[i]] & set(ids[t])) / 10 for i, t in zip(ask, top)])
+    print(f"recall of {n}: {recall:.4f}")
+    assert recall >= 0.9 and got.str.len().eq(10).all() and len(got) == n
+
+
 def test_largest():
     x = np.random.default_rng(5).normal(size=(7, 5003)).astype(np.float32)
     got = neighbours.largest(x, 10)

@@ -76,10 +76,11 @@ def largest(x: np.ndarray, k: int, width: int = 64) -> np.ndarray:
     return np.take_along_axis(at, pick, axis=1)
 
 
-def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int, min_cosine: float | None, compact: bool, dims: int, seed: int = 5) -> DataFrame:
+def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int, min_cosine: float | None, compact: bool, dims: int, max_depth: int | None = None, seed: int = 5) -> DataFrame:
     """(id_a, id_b, cosine): of each vector the best ``k`` members of the leaves it visits. ``vectors``: (id, v) of length 1, bounded copies; read three times (count, sample, routing), each a scan."""
     n = vectors.count()
     depth = max(1, math.ceil(math.log2(max(n, 2) / leaf_size)))
+    depth = depth if max_depth is None else min(depth, max_depth)
     share = min(1.0, SAMPLE / max(n, 1))
     sample = sorted((r["id"], bytes(r["v"])) for r in vectors.where(F.abs(F.xxhash64("id") % 1_000_003) < math.ceil(share * 1_000_003)).limit(2 * SAMPLE).collect())
     x = np.frombuffer(b"".join(v for _, v in sample), np.float32).reshape(len(sample), dims)
@@ -155,8 +156,9 @@ def best(pairs: DataFrame, k: int) -> DataFrame:
     return lists.select("id_a", F.explode("x").alias("x")).select("id_a", "x.id_b", (-F.col("x.d")).alias("cosine"))
 
 
-def nearest(df: DataFrame, key: str, vector: str, k: int = 10, min_cosine: float | None = None, trees: int = 3, visits: int = 6, leaf_size: int = 2048, compact: bool = True, dims: int = 64) -> DataFrame:
-    """(id_a, id_b, cosine): for every usable vector its k most similar others, those of at least ``min_cosine`` if given."""
+def nearest(df: DataFrame, key: str, vector: str, k: int = 10, min_cosine: float | None = None, trees: int = 3, visits: int = 6, leaf_size: int = 2048, compact: bool = True, dims: int = 64, max_depth: int | None = None) -> DataFrame:
+    """(id_a, id_b, cosine): for every usable vector its k most similar others, those of at least ``min_cosine`` if given. Trees are as deep as ``leaf_size`` asks,
+    ``max_depth`` at most: with it, ``visits`` leaves hold a fixed share of all vectors at least, whatever their number."""
     vectors = usable(df, key, vector, dims)
     h = F.xxhash64("v")
     classes = cut(vectors.groupBy(h.alias("h")).agg(F.count("*").alias("n")).where(F.col("n") > k + 1).select("h"))
@@ -171,7 +173,7 @@ def nearest(df: DataFrame, key: str, vector: str, k: int = 10, min_cosine: float
         heads = vectors.select("id", "v", h.alias("h")).join(few, "h", "left_anti").select("id", "v").unionByName(head.select("id", "v"))
         first = head.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
         tails = hot.select("id", "v").distinct().join(first, "v").where(~F.array_contains("ids", F.col("id"))).select(F.col("id").alias("id_a"), F.explode(F.slice("ids", 1, k)).alias("id_b"), F.lit(1.0).alias("cosine"))
-    got = search(heads, k, trees, visits, leaf_size, min_cosine, compact, dims)
+    got = search(heads, k, trees, visits, leaf_size, min_cosine, compact, dims, max_depth)
     if compact:
         pairs = got.groupBy("id_a", "id_b").agg(F.max("cosine").alias("c"))
         pairs = cut(pairs)
