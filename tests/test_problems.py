@@ -196,6 +196,21 @@ def test_spikes(spark):
     assert scored[scored.kind == "spike"].score.min() > scored[scored.kind == ""].score.quantile(0.9)
 
 
+def test_levels_pass_quiet_days_at_a_border(spark):
+    rng = np.random.default_rng(8)
+    border = 19456  # of two shards
+    quiet = [("week", d, 0.0 if border - 9 <= d < border or border + 5 <= d < border + 15 else float(rng.integers(1, 500))) for d in range(border - 40, border + 40)]
+    empty = [("shard", d, float(rng.integers(1, 500))) for d in [*range(18900, 18944), *range(border, border + 20)]] + [("shard", d, -1.0 * (d % 20 > 0)) for d in range(18950, border, 10)]
+    rows = quiet + empty
+    df = spark.createDataFrame([(g, dt.date(1970, 1, 1) + dt.timedelta(days=d), v) for g, d, v in rows], "g string, ds date, y double")
+    got = {(r.source, (r.t - dt.date(1970, 1, 1)).days): r.level for r in spikes.score_readings(df, "g", "ds", "y").collect()}
+    assert len(got) == len(rows)
+    for g in ("week", "shard"):
+        p = sorted((d, v) for x, d, v in rows if x == g and v > 0)
+        for i, (d, _) in enumerate(p):
+            assert got[(g, d)] == np.median([v for _, v in p[max(i - 7, 0) : i] + p[i + 1 : i + 8]]), (g, d)
+
+
 def test_forest_finds_the_far_point():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 3))

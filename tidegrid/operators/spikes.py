@@ -109,7 +109,7 @@ def score_readings(df: DataFrame, source: str, time: str, value: str, zero_ok: b
     them by source for their halos; one Arrow pass judges many shards at a time."""
     require(df, source, time, value)
     rows = readings(df, source, time, value).distinct().select("source", day_number(F.col("t")).alias("day"), F.struct("t", "v").alias("item"))
-    s = sharded(rows, "item", SHARD_DAYS, NEAR, NEAR, {"lo": F.min("item.v"), "hi": F.max("item.v")})
+    s = sharded(rows, "item", SHARD_DAYS, NEAR, NEAR, {"lo": F.min("item.v"), "hi": F.max("item.v")}, also=lambda x: x["v"] > 0)  # runs need the nearest readings, levels the nearest positive ones
     w = Window.partitionBy("source")
     s = s.select("source", "before", "own", "after", (F.min("lo").over(w) < F.max("hi").over(w)).alias("moves"))
     kind = rows.schema["item"].dataType["t"].dataType.simpleString()
