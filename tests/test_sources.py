@@ -70,6 +70,13 @@ def test_search_many(spark):
     assert retrieval.search_many(items, q.limit(0)).count() == 0 and retrieval.search_many(items.limit(0), q).count() == 0
 
 
+def test_search_many_with_queries_of_several_lengths(spark):
+    items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 0.0, 1.0])], "vec_id long, embedding array<float>")
+    q = spark.createDataFrame([(10, [0.9, 0.1, 0.0]), (11, [0.1, 0.9]), (12, [1.0]), (13, [1.0, 0.2]), (14, [0.0, 0.1, 0.9])], "query_id long, query array<float>").coalesce(1)
+    got = {(r.query_id, r.rank): r.vec_id for r in retrieval.search_many(items, q, k=1).collect()}
+    assert got == {(10, 1): 3, (11, 1): 2, (13, 1): 1, (14, 1): 4}
+
+
 def test_helpers(spark):
     df = spark.range(10)
     assert cut(df).count() == 10 and len(bounded_rows(df, 10, "rows")) == 10

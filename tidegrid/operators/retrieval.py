@@ -94,7 +94,7 @@ def search(index: DataFrame, question: list[float], key: str = "vec_id", vector:
 
 def search_many(index: DataFrame, questions: DataFrame, key: str = "vec_id", vector: str = "embedding", query_key: str = "query_id", query_vector: str = "query", k: int = 8) -> DataFrame:
     """(query_key, key, score, rank): the k best rows for each row of a stated set of queries, against all rows. Queries are sent in blocks of at most about QUERY_BLOCK; each Arrow batch is
-    one matrix product and gives k rows a query, so what is shuffled is short. Vectors of another length than the first query's, and nulls, score nothing."""
+    one matrix product for each length of query and gives k rows a query, so what is shuffled is short. A query meets the vectors of its own length; nulls score nothing."""
     require(index, key, vector)
     require(questions, query_key, query_vector)
     sc, blocks = index.sparkSession.sparkContext, max(1, -(-questions.count() // QUERY_BLOCK))
@@ -102,28 +102,28 @@ def search_many(index: DataFrame, questions: DataFrame, key: str = "vec_id", vec
     parts = []
     for block in range(blocks):
         rows = questions.where(col(query_vector).isNotNull() & (F.pmod(F.xxhash64(col(query_key)), F.lit(blocks)) == block)).select(col(query_key).alias("q"), col(query_vector).alias("v")).collect()
-        size = len(rows[0]["v"]) if rows else 0
-        rows = [r for r in rows if len(r["v"]) == size]
-        shared = sc.broadcast(([r["q"] for r in rows], np.array([r["v"] for r in rows], float).reshape(len(rows), size)))
+        sizes: dict[int, list] = {}
+        for r in rows:
+            sizes.setdefault(len(r["v"]), []).append(r)
+        shared = sc.broadcast([([r["q"] for r in rs], np.array([r["v"] for r in rs], float).reshape(len(rs), size)) for size, rs in sizes.items()])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            names, q = shared.value
-            q_norm = np.linalg.norm(q, axis=1)
-            names = pa.array(names)
-            for b in batches:
-                b = b.filter(pc.fill_null(pc.equal(pc.list_value_length(b["v"]), q.shape[1]), False))
-                if not b.num_rows or not len(q):
-                    continue
-                x = b["v"].flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, q.shape[1])
-                x_norm = np.linalg.norm(x, axis=1)
-                order = pc.rank(b["k"], tiebreaker="first").to_numpy()
-                for at in range(0, len(q), 256):
-                    score = q[at : at + 256] @ x.T / (q_norm[at : at + 256, None] * x_norm + 1e-8)
-                    # ties go to the smaller key, so that no batch drops one that the whole would keep
-                    top = np.lexsort((np.broadcast_to(order, score.shape), -np.nan_to_num(score, nan=-np.inf)), axis=1)[:, :k]
-                    r = np.repeat(np.arange(len(score)), top.shape[1])
-                    c = top.reshape(-1)
-                    yield pa.RecordBatch.from_pydict({"query": names.take(pa.array(r + at)), "item": b["k"].take(pa.array(c)), "score": pa.array(score[r, c])})
+            asked = [(pa.array(names), q, np.linalg.norm(q, axis=1)) for names, q in shared.value]
+            for whole in batches:
+                for names, q, q_norm in asked:
+                    b = whole.filter(pc.fill_null(pc.equal(pc.list_value_length(whole["v"]), q.shape[1]), False))
+                    if not b.num_rows:
+                        continue
+                    x = b["v"].flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, q.shape[1])
+                    x_norm = np.linalg.norm(x, axis=1)
+                    order = pc.rank(b["k"], tiebreaker="first").to_numpy()
+                    for at in range(0, len(q), 256):
+                        score = q[at : at + 256] @ x.T / (q_norm[at : at + 256, None] * x_norm + 1e-8)
+                        # ties go to the smaller key, so that no batch drops one that the whole would keep
+                        top = np.lexsort((np.broadcast_to(order, score.shape), -np.nan_to_num(score, nan=-np.inf)), axis=1)[:, :k]
+                        r = np.repeat(np.arange(len(score)), top.shape[1])
+                        c = top.reshape(-1)
+                        yield pa.RecordBatch.from_pydict({"query": names.take(pa.array(r + at)), "item": b["k"].take(pa.array(c)), "score": pa.array(score[r, c])})
 
         parts.append(index.where(col(vector).isNotNull()).select(col(key).alias("k"), col(vector).alias("v")).mapInArrow(run, schema))
     pairs = parts[0]
