@@ -259,6 +259,20 @@ def test_nearest_examples_are_exact():
                 assert np.allclose(got, full[: len(got)], atol=1e-4)
 
 
+def test_scores_do_not_depend_on_what_was_scored_before():
+    model = toxicity.Model([(t, y) for _, t, y in _docs(300, 3)])
+    ex = model.examples
+    pairs = [(p, p[:1] * 6 + p) for _, t, _ in _docs(40, 4) for p in map(toxicity.tokens, toxicity.passages(t)) if p]  # the same features, other counts
+    assert pairs
+
+    def scores(order):
+        ex.memo = {}
+        return {(i, j): ex.score(pairs[i][j])[0] for i in range(len(pairs)) for j in order}
+
+    first, second = scores((0, 1)), scores((1, 0))
+    assert first == second and any(first[i, 0] != first[i, 1] for i in range(len(pairs)))
+
+
 @pytest.mark.parametrize("raw, want", [("Y0U 4R3 4N 1D107", "you are an idiot"), ("i.d.i.o.t", "idiot"), ("I D I O T", "idiot"), ("id​iot", "idiot"), ("iiidiooot", "idiot"), ("іdіоt", "idiot"), ("on 24 May", "on may")])
 def test_disguises(raw, want):
     assert toxicity.tokens(raw) == [toxicity.fold(w) for w in want.split()]

@@ -146,7 +146,7 @@ class Examples:
 
     def nearest(self, words: Sequence[str], k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, exact; only positive cosines."""
-        count = Counter(f for f in self.features(words) if f in self.term)
+        count = Counter(f for f in sorted(self.features(words)) if f in self.term)
         if not count:
             return np.zeros(0, np.int64), np.zeros(0)
         t = [self.term[f] for f in count]
@@ -172,7 +172,7 @@ class Examples:
 
     def score(self, words: Sequence[str]) -> tuple[float, int]:
         """Distance-weighted vote of the nearest examples, and the nearest of them that offends (-1: none)."""
-        key = tuple(sorted(set(f for f in self.features(words) if f in self.term)))
+        key = tuple(sorted(Counter(f for f in self.features(words) if f in self.term).items()))
         if key in self.memo:
             return self.memo[key]
         i, s = self.nearest(words)
