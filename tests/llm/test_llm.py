@@ -213,6 +213,21 @@ def test_mix(spark):
     assert none.count() == 0 and rep.toPandas().actual_share.isna().all()
 
 
+def test_mix_of_the_tokens_at_hand(spark, tmp_path):
+    rows = [(i, "scarce" if i < 10 else "big" if i % 2 else "wide", f"word number {i} ") for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("scarce", 0.1, 2), ("big", 0.6, 3), ("wide", 0.3, 3)], "source string, target_share double, max_repeats int").write.parquet(f"{tmp_path}/mix_targets.parquet")
+    r = queries.queries()["p9_at_hand_shares"](spark, str(tmp_path)).toPandas().set_index("source")
+    drawn = queries.queries()["p9_at_hand"](spark, str(tmp_path)).toPandas()
+    assert abs(r.drawn_tokens.sum() / r.available_tokens.sum() - 1) < 0.005 and (drawn.n_tokens * drawn.repeats).sum() == r.drawn_tokens.sum()
+    assert r.drawn_tokens["scarce"] == 2 * r.available_tokens["scarce"] and abs(r.drawn_tokens["big"] / r.drawn_tokens["wide"] - 2) < 0.02
+    assert r.missed_share["scarce"] > 0.08 and r.missed_share["big"] < 0 and abs(r.missed_share.sum()) < 1e-9
+    small = queries.p9_shares(spark, str(tmp_path)).toPandas()
+    assert small.drawn_tokens.sum() < 0.2 * r.drawn_tokens.sum()  # the default total meets every target
+    with pytest.raises(ValueError):
+        mixing.mix(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/mix_targets.parquet"), total=1.0, of_hand=1.0)
+
+
 # 10: toxicity
 
 NICE = ["The forecast for {n} beats sales by {k} percent", "Please check the calendar of week {k}", "Stock in {n} was booked twice", "You can see the naked numbers of {n} on page {k}", "We lost {k} readings from {n}", "Kill the job before you restart {n}"]

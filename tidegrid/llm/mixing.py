@@ -86,8 +86,9 @@ def water_fill(sources: Sequence[tuple[str, float, int, int]], total: float | No
     return [Plan(n, t, c, a, got.get(n, 0.0)) for n, t, c, a in sources]
 
 
-def mix(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", total: float | None = None, seed: int = 17, path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> tuple[DataFrame, DataFrame]:
-    """(drawn, report). drawn: key, source, n_tokens, repeats (> 0). report: a row per target source with the shares reached.
+def mix(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", total: float | None = None, seed: int = 17, path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", of_hand: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(drawn, report). drawn: key, source, n_tokens, repeats (> 0). report: a row per target source with the shares reached. ``of_hand`` gives the total as a multiple
+    of the tokens that the target sources hold.
 
     Records are tokenized once, in place; only (key, source, size) is written and read again. The order within a source is cut by a table of
     sizes by (source, bucket of the seeded hash), and only the one bucket at the border is ordered by record."""
@@ -99,6 +100,10 @@ def mix(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: str =
     sized = token_counts(docs.where(col(source).isin([w[0] for w in want])).select(col(key).alias("key"), col(source).alias("src"), col(text).alias("text")), "text", path=path).drop("text").distinct()
     sized = cut(sized.select("key", "src", "n_tokens", F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket"), h.alias("h")).where("n_tokens > 0"))
     sizes = {r["src"]: r["n"] for r in bounded_rows(sized.groupBy("src").agg(F.sum("n_tokens").alias("n")), MAX_SOURCES, "sources")}
+    if of_hand is not None:
+        if total is not None:
+            raise ValueError("total and of_hand exclude each other")
+        total = of_hand * sum(sizes.values())
     plans = [p for p in water_fill([(s, t, m, sizes.get(s, 0)) for s, t, m in want], total)]
     spark = docs.sparkSession
     table = spark.createDataFrame([(p.source, p.target, p.cap, p.available, p.wanted, int(p.epochs), (p.epochs - int(p.epochs)) * p.available) for p in plans], "src string, target_share double, max_repeats int, available bigint, wanted double, whole int, part double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.chunking import split_texts
@@ -58,6 +58,21 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/mix_targets.parquet"))[1]
 
 
+def _at_hand(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mix(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/mix_targets.parquet"), of_hand=1.0)
+
+
+def p9_at_hand(spark: SparkSession, d: str) -> DataFrame:
+    """The mix of as many tokens as the sources hold: scarce sources stop at their caps, and the others share what they leave."""
+    return _at_hand(spark, d)[0]
+
+
+def p9_at_hand_shares(spark: SparkSession, d: str) -> DataFrame:
+    """missed_share: what a source lacks of its share of all targets; negative for those that take over."""
+    want = F.col("target_share") / F.nullif(F.sum("target_share").over(Window.partitionBy()), F.lit(0.0))  # a row a source
+    return _at_hand(spark, d)[1].withColumn("missed_share", want - F.coalesce("actual_share", F.lit(0.0)))
+
+
 def _scores(spark: SparkSession, d: str) -> DataFrame:
     return score_documents(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/doc_labels.parquet"), keep=["source"])
 
@@ -76,7 +91,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_neighbours, p3_found, p6_pieces, p6_found, p8_leaks, p8_found, p9_mix, p9_shares, p10_scores, p10_rates, p10_found)}
+    return {f.__name__: f for f in (p3_neighbours, p3_found, p6_pieces, p6_found, p8_leaks, p8_found, p9_mix, p9_shares, p9_at_hand, p9_at_hand_shares, p10_scores, p10_rates, p10_found)}
 
 
 def sql() -> dict[str, str]:
