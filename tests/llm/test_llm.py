@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.llm import chunking, leaks, mixing, neighbours, queries, toxicity
-from tidegrid.llm.canonical import words
 from tidegrid.llm.forest import fit
-from tidegrid.llm.wand import BlockMaxIndex
+from tidegrid.llm.passages import Reader, fold, tokens
+from tidegrid.llm.wand import BlockMaxIndex, segments
 
 NAN = float("nan")
 
@@ -142,31 +142,101 @@ def test_split_texts(spark):
 
 # 8: leaks
 
-ITEM = [f"w{i}" for i in range(40)]
+ITEM = [f"w{i:02}x" for i in range(40)]
+
+
+def _leak(doc, item=ITEM):
+    return leaks.leaked(leaks.Stream([w for w in doc if w]), leaks.Item(item))
 
 
 @pytest.mark.parametrize("doc, n", [
-    (ITEM, 40), (["x"] * 9 + ITEM[5:29] + ["y"] * 9, 24), (ITEM[5:28], 0), (ITEM[:10] + ITEM[11:30], 30), (ITEM[:10] + ["z"] + ITEM[11:26], 26),
-    (ITEM[:10] + ["z"] + ITEM[11:14] + ["z"] + ITEM[15:24], 0), (ITEM[:16] + ["x"] * 50 + ITEM[16:32], 32), (ITEM[:15] + ["x"] * 50 + ITEM[15:40], 25), (ITEM[:15] + ["x"] * 50 + ITEM[15:30], 0),
-    (ITEM[16:32] + ["x"] * 50 + ITEM[:16], 0), (ITEM[:8] + ["x"] * 3 + ITEM[8:16] + ["x"] * 3 + ITEM[16:24], 0), ([], 0),
+    (ITEM, 40), (["x"] * 9 + ITEM[5:29] + ["y"] * 9, 26), (ITEM[5:27], 24), (ITEM[5:26], 0), (ITEM[:23], 24), (ITEM[:22], 0), (ITEM[:10] + ITEM[11:30], 31), (ITEM[:10] + ["z"] + ITEM[11:26], 27),
+    (ITEM[:10] + ["z"] + ITEM[11:14] + ["z"] + ITEM[15:24], 0), (ITEM[:16] + ["x"] * 50 + ITEM[16:32], 33), (ITEM[:15] + ["x"] * 50 + ITEM[15:39], 26), (ITEM[:14] + ["x"] * 50 + ITEM[14:28], 0),
+    (ITEM[16:32] + ["x"] * 50 + ITEM[:16], 0), (ITEM[:8] + ["x"] * 3 + ITEM[8:16] + ["x"] * 3 + ITEM[16:24], 0), ([], 0), (ITEM[:1] + ["z"] + ITEM[2:22] + ["z"] + ITEM[23:24], 24),
+    (ITEM[:9] + ["w0", "9x"] + ITEM[10:26], 27), (ITEM[:9] + ["w09xw10x"] + ITEM[11:26], 27), (list("".join(ITEM[:26])), 27), (["".join(ITEM[:26])], 27), (ITEM[:9] + ["other1word"] + ITEM[10:26], 27),
 ])
 def test_alignment(doc, n):
-    assert leaks.leaked(doc, ITEM) == n
+    """Runs and parts, changed words, torn words and words run together. A changed word at an end counts."""
+    assert _leak(doc) == n
+
+
+def test_lone_marks_of_an_item():
+    item = ITEM[:12] + [""] + ITEM[12:24] + [""] + ITEM[24:]
+    assert _leak(ITEM[:24], item) == 26 and _leak(ITEM[:12] + ["old"] + ITEM[12:23], item) == 25  # a word stands in the mark's place
+    assert _leak(ITEM[:13] + ["z"] + ITEM[14:23], item) == 25 and _leak(ITEM[:12] + ["z"] + ITEM[13:26], item) == 29
+
+
+def _found(texts, items):
+    known = leaks.Items([leaks.split(t) for t in items])
+    return {(i, j) for i, j, _, _ in leaks.search(leaks.Reader(known), texts)}
+
+
+def test_retrieval_of_torn_joined_and_hyphenated_words():
+    """Passages of 26 words of an item, spelt in every way, are found by the index, beside other items of the same wording."""
+    r = random.Random(4)
+    vocab = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(300)]
+    items = [" ".join(r.choice(vocab) for _ in range(45)) for _ in range(200)]
+    for t in range(60):
+        w = items[t].split()[5:31]
+        k = r.randrange(3, 20)
+        ways = [
+            w, w[:k] + [w[k][:3], w[k][3:]] + w[k + 1 :], w[:k] + [w[k][:3] + "-" + w[k][3:]] + w[k + 1 :], w[:k] + [w[k] + w[k + 1]] + w[k + 2 :], w[:k] + [w[k] + "—" + w[k + 1]] + w[k + 2 :], w[:k] + ["well-known"] + w[k + 1 :],
+            w[:k] + w[k + 1 :], [x[:3] + "\n" + x[3:] for x in w], [a + b for a, b in zip(w[::2], w[1::2])], [f"<i>{x.upper()}</i>" for x in w], [" ".join(x) for x in w[:1]] + w[1:],
+        ]
+        noise = lambda n: [r.choice(vocab) for _ in range(n)]
+        texts = [" ".join(noise(30) + x + noise(30)) for x in ways]
+        assert {i for i, j in _found(texts, items) if j == t} == set(range(len(ways)))
+
+
+def test_retrieval_loses_nothing():
+    """Random admissible pieces against brute force over all pairs."""
+    r = random.Random(5)
+    vocab = [f"v{i}" for i in range(60)]
+    items = [" ".join(["-" if r.random() < 0.03 else r.choice(vocab) for _ in range(r.randrange(24, 60))]) for _ in range(120)]
+    texts = []
+    for _ in range(250):
+        w = r.choice(items).split()
+        a = r.randrange(0, len(w) - 23)
+        w = w[a : a + r.randrange(14, 40)]
+        for k in range(r.randrange(0, 9), len(w), r.randrange(7, 14)):
+            w[k] = r.choice(("", "changed", "v1"))
+        k = r.randrange(len(w))
+        texts.append(" ".join([r.choice(vocab) for _ in range(r.randrange(60))] + w[:k] + [r.choice(vocab) for _ in range(r.choice((0, 0, 9)))] + w[k:]))
+    split = [leaks.split(t) for t in items]
+    want = {(i, j) for i, t in enumerate(texts) for j, w in enumerate(split) if _leak(leaks.split(t), w)}
+    assert len(want) > 60 and _found(texts, items) == want
+
+
+def _index(texts, block):
+    term = {t: i for i, t in enumerate(sorted({t for x in texts for t in x}))}
+    rows = [(term[t], i, x.count(t) / len(x) * (1 + term[t])) for i, x in enumerate(texts) for t in sorted(set(x))]
+    return term, BlockMaxIndex(*map(np.array, zip(*rows)), len(term), len(texts), block)
 
 
 def test_index_is_exact():
     r = random.Random(0)
     texts = [[r.choice("abcdefghijklmnop") for _ in range(r.randrange(1, 30))] for _ in range(150)]
-    ix = BlockMaxIndex(texts, block=8)
+    term, ix = _index(texts, 8)
     for _ in range(60):
-        q = list({r.choice("abcdefghijklmnopz") for _ in range(6)})
-        least = np.full(150, r.uniform(0.1, 6))
-        ids, score = ix.above(ix.numbers(q).tolist(), least, ix.by_block(least))
+        q = np.array(sorted({term[r.choice("abcdefghijklmnop")] for _ in range(6)}))
+        least = np.full(150, r.uniform(0.1, 3))
+        ids, score = ix.above(q, least, ix.least_by_block(least))
         full = np.zeros(150)
-        for t in q:
-            if t in ix.term:
-                full[ix.ids[ix.term[t]]] += ix.weights[ix.term[t]]
-        assert ids.tolist() == np.flatnonzero(full >= least).tolist() and np.allclose(score, full[ids])
+        at, border = segments(ix.post, q)
+        np.add.at(full, ix.ids[at], ix.weights[at])
+        assert sorted(ids.tolist()) == np.flatnonzero(full >= least).tolist() and np.allclose(score, full[ids])
+        some, most = ix.largest(q, np.ones(len(q), np.float32), 7, 0.2, 3)
+        assert np.allclose(most, np.sort(full[full >= 0.2])[::-1][:7]) and np.allclose(full[some], most)
+
+
+def test_a_large_index_stays_small():
+    """20,000 items of 45 words from 100,000: as large as its postings, not terms times blocks."""
+    rng = np.random.default_rng(0)
+    texts = [[f"t{i}" for i in x] for x in rng.integers(0, 100_000, (20_000, 45))]
+    known = leaks.Items(texts)
+    size = sum(a.nbytes for a in vars(known.index).values() if isinstance(a, np.ndarray))
+    assert size < 40 * 20_000 * 45 and known.index.width * known.index.blocks > 5e7
+    assert {j for _, j, _, _ in leaks.search(leaks.Reader(known), [" ".join(texts[777][10:36])])} == {777}
 
 
 def test_find_leaks(spark):
@@ -182,7 +252,7 @@ def test_find_leaks(spark):
     got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(df, it).collect()}
     assert got == {(1, 0), (1, 97), (2, 1), (7, 3), (7, 4), (8, 5)}
     # brute force over all pairs
-    want = {(d, i) for d, t in docs if d for i, w in [*items.items(), (97, items[0])] if leaks.leaked(words(t), w)}
+    want = {(d, i) for d, t in docs if d for i, w in [*items.items(), (97, items[0])] if _leak(leaks.split(t), w)}
     assert got == want
     assert leaks.find_leaks(df.limit(0), it).count() == 0 and leaks.find_leaks(df, it.limit(0)).count() == 0
 
@@ -248,49 +318,79 @@ def _docs(n, seed):
     return out
 
 
+def _bad(model, texts):
+    return model.scored(texts)[0] >= model.cut
+
+
 def test_held_out_accuracy():
     model = toxicity.Model([(t, y ^ (i % 50 == 7)) for i, t, y in _docs(500, 1)])  # two percent of wrong labels
     test = _docs(300, 2)
-    hit = [(model.judge(t)[0] >= model.cut, y) for _, t, y in test]
+    hit = list(zip(_bad(model, [t for _, t, _ in test]), [y for *_, y in test]))
     tp, fp, fn = sum(a and y for a, y in hit), sum(a and not y for a, y in hit), sum(y and not a for a, y in hit)
     assert tp / max(tp + fp, 1) > 0.9 and tp / max(tp + fn, 1) > 0.9
 
 
+def test_harmless_copies_take_a_mark_back():
+    """A sentence that occurs in many documents, by chance more often in positive ones, does not offend."""
+    rows = [(t + (". Harder to seal when the lips of the machine are wet" if i % (3 if y else 12) == 0 else ""), y) for i, t, y in _docs(500, 6)]
+    assert not _bad(toxicity.Model(rows), ["Harder to seal when the lips of the machine are wet"])[0]
+
+
 def test_nearest_examples_are_exact():
     model = toxicity.Model([(t, y) for _, t, y in _docs(300, 3)])
     ex = model.examples
-    dense = np.zeros((len(ex.label), len(ex.term)))
-    for t, (i, w) in enumerate(zip(ex.ids, ex.weights)):
-        dense[i, t] = w
-    for _, t, _ in _docs(20, 4):
-        for p in toxicity.passages(t):
-            f = [x for x in ex.features(toxicity.tokens(p)) if x in ex.term]
-            if f:
-                q = np.zeros(len(ex.term))
-                for x in f:
-                    q[ex.term[x]] += ex.idf[x]
-                full = np.sort(dense @ (q / np.linalg.norm(q)))[::-1][:7]
-                got = ex.nearest(toxicity.tokens(p))[1]
-                assert np.allclose(got, full[: len(got)], atol=1e-4)
+    dense = np.zeros((len(ex.label), ex.index.width))
+    for t in range(ex.index.width):
+        at = slice(ex.index.post[t], ex.index.post[t + 1])
+        dense[ex.index.ids[at], t] = ex.index.weights[at]
+    assert np.allclose(np.linalg.norm(dense, axis=1)[dense.any(axis=1)], 1, atol=1e-5)
+    p = model.reader.batch([t for _, t, _ in _docs(40, 4)])
+    border, term, w = ex.weighted(p.numbers, p.start)
+    score = ex.score(p.numbers, p.start)
+    some = 0
+    for i in range(len(p)):
+        q = np.zeros(ex.index.width)
+        q[term[border[i] : border[i + 1]]] = w[border[i] : border[i + 1]]
+        full = dense @ q
+        order = [j for j in np.lexsort((np.arange(len(full)), -full)) if full[j] >= toxicity.FLOOR][:7]
+        got = ex.nearest(term[border[i] : border[i + 1]], w[border[i] : border[i + 1]])[1]
+        assert np.allclose(got, full[order], atol=1e-4)
+        v = full[order] ** toxicity.POWER
+        want = (v * ex.label[order]).sum() / (v.sum() + toxicity.PRIOR)
+        if len(full) > 7 and len(order) == 7 and np.isclose(np.sort(full)[-8], full[order[-1]], atol=1e-6):
+            continue  # a tie at the last place
+        some += want > 0
+        assert abs(score[i] - want) < 1e-3
+    assert some > 5
 
 
 def test_scores_do_not_depend_on_what_was_scored_before():
     model = toxicity.Model([(t, y) for _, t, y in _docs(300, 3)])
-    ex = model.examples
-    pairs = [(p, p[:1] * 6 + p) for _, t, _ in _docs(40, 4) for p in map(toxicity.tokens, toxicity.passages(t)) if p]  # the same features, other counts
-    assert pairs
-
-    def scores(order):
-        ex.memo = {}
-        return {(i, j): ex.score(pairs[i][j])[0] for i in range(len(pairs)) for j in order}
-
-    first, second = scores((0, 1)), scores((1, 0))
-    assert first == second and any(first[i, 0] != first[i, 1] for i in range(len(pairs)))
+    texts = [t for _, t, _ in _docs(60, 4)] + ["you you you worthless moron", "you worthless moron", None, "", " "]
+    first = model.scored(texts)[0]
+    again = [model.scored([t])[0][0] for t in reversed(texts)][::-1]
+    model.memo, toxicity.KEPT, kept = {}, 3, toxicity.KEPT
+    few = np.concatenate([model.scored([t])[0] for t in texts])
+    toxicity.KEPT = kept
+    assert np.allclose(first, again) and np.allclose(first, few)
 
 
 @pytest.mark.parametrize("raw, want", [("Y0U 4R3 4N 1D107", "you are an idiot"), ("i.d.i.o.t", "idiot"), ("I D I O T", "idiot"), ("id​iot", "idiot"), ("iiidiooot", "idiot"), ("іdіоt", "idiot"), ("on 24 May", "on may")])
 def test_disguises(raw, want):
-    assert toxicity.tokens(raw) == [toxicity.fold(w) for w in want.split()]
+    assert tokens(raw) == [fold(w) for w in want.split()]
+
+
+def test_passages():
+    r = Reader()
+    text = "A: one two. three :) i d i o t!\nB: y0u 4r3 45 b4d m4n - the end... 24 of May\n" + "word " * 40
+    p = r.batch([text, None, "", "again"])
+    name = {i: w for w, i in r.number.items()}
+    got = [(int(p.text[i]), [name[n] for n in p.numbers[p.start[i] : p.start[i + 1]]]) for i in range(len(p))]
+    fold_all = lambda t: [fold(w) for w in t.split()]
+    assert sorted(x for t, x in got if t == 0 and len(x) < 14) == sorted(map(fold_all, ("one two", "three", "idiot", "you are as bad man", "the end", "of may", "word word word word word word word word word word word word")))
+    assert (3, ["again"]) in got and max(len(x) for _, x in got) == 14 and p.written(0) == "one two."
+    slipped = Reader(["whatever"]).batch(["whatevr whatever whhatever other"])
+    assert slipped.numbers.tolist() == [1, 1, 1, 0]
 
 
 def test_score_documents(spark):

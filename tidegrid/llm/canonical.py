@@ -43,17 +43,26 @@ class _Table(dict):
 _TABLE = _Table()
 
 
-def plain(text: str) -> str:
-    """Lower case plain letters, without mark-up, quote marks at line starts, invisible characters and hyphens at line ends."""
+def unmarked(text: str) -> str:
+    """Without mark-up, character references, quote marks at line starts and hyphens at line ends."""
     if "<" in text:
         text = _TAG.sub(lambda m: "" if m.group()[1:2].islower() and len(m.group()) < 6 or m.group()[1:2] == "/" and m.group() not in ("</p>", "</li>", "</td>", "</h1>") else " ", text)
     if "&" in text:
         text = html.unescape(text)
     if ">" in text:
         text = _LINE.sub(" ", text)
-    text = _HYPHEN.sub("", text)
-    return text.translate(_TABLE)
+    return _HYPHEN.sub("", text)
+
+
+def worded(text: str) -> str:
+    """Lower case plain letters, without invisible characters."""
+    return text.lower() if text.isascii() else text.translate(_TABLE)
+
+
+def plain(text: str) -> str:
+    return worded(unmarked(text))
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall(plain(text)) if text else []
+def joined(word: str) -> str:
+    """The letters and digits of a piece without white space."""
+    return "".join(_WORD.findall(worded(word)))
