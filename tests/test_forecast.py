@@ -144,3 +144,32 @@ def test_linear_matches_pandas(spark):
     got = [r.y_int for r in interpolate(series(spark, y), ["y"], "ds", "g").orderBy("ds").collect()]
     want = pd.Series(y, dtype=float).interpolate().ffill().bfill()
     assert got == pytest.approx(want.tolist())
+
+
+def test_a_series_that_fails_gets_the_naive_forecast(monkeypatch):
+    cfg = ForecastConfig(horizon=3, granularity="month", seasonal_period=4, min_history=8)
+    y = 10 + np.sin(np.arange(24) * np.pi / 2) + np.arange(24) * 0.1
+    hat, half, reason = forecast.one_series(y, y, cfg)
+    assert reason is None and len(hat) == 3 and half > 0
+
+    def broken(*_):
+        raise ZeroDivisionError("poisoned")
+
+    monkeypatch.setattr(forecast, "stl", broken)
+    hat, half, reason = forecast.one_series(y, y, cfg)
+    assert reason == "ZeroDivisionError: poisoned" and hat.tolist() == [y[-1]] * 3 and half == 0
+
+
+def test_a_poisoned_series_does_not_stop_the_others(spark):
+    cfg = ForecastConfig(horizon=2, granularity="month", seasonal_period=4, min_history=8, target="y")
+    days = pd.date_range("2020-01-01", periods=24, freq="MS").date
+    rows = [("good", d, float(10 + i % 4 + i * 0.1)) for i, d in enumerate(days)] + [("bad", d, (-1.0) ** i * 1.7e308) for i, d in enumerate(days)]
+    got = forecast.long_forecast(spark.createDataFrame(rows, "time_series_id string, ds date, y double"), cfg).toPandas()
+    assert got.groupby("time_series_id").method.first().to_dict() == {"good": "stl_holt", "bad": "naive"} and got[got.time_series_id == "bad"].fallback_reason.notna().all()
+
+
+def test_unique_keys(spark):
+    df = spark.createDataFrame([("a", "2024-01-01", 1.0), ("a", "2024-01-01", 2.0)], "time_series_id string, ds string, y double")
+    assert evaluate.require_unique(df.limit(1)) is not None
+    with pytest.raises(ValueError, match="2 rows"):
+        evaluate.require_unique(df)

@@ -15,7 +15,7 @@ def finite(c: Column) -> Column:
 
 
 def align(actual: DataFrame, forecast: DataFrame, cfg: EvalConfig = EvalConfig()) -> DataFrame:
-    """Inner join by series and period; the short flag of the actuals, else of the forecasts. Keys must be unique, or rows multiply."""
+    """Inner join by series and period; the short flag of the actuals, else of the forecasts. Keys must be unique, or rows multiply: ``require_unique`` asserts it."""
     require(actual, cfg.group, cfg.date, cfg.target)
     require(forecast, cfg.group, cfg.date, cfg.forecast)
     more = [c for c in (cfg.baseline, cfg.lower, cfg.upper) if c and c in forecast.columns]
@@ -26,6 +26,14 @@ def align(actual: DataFrame, forecast: DataFrame, cfg: EvalConfig = EvalConfig()
     return left.join(forecast.select(col(cfg.group), col(cfg.date).cast("date").alias(cfg.date), col(cfg.forecast), *map(col, more)), [cfg.group, cfg.date])
 
 
+def require_unique(df: DataFrame, cfg: EvalConfig = EvalConfig()) -> DataFrame:
+    """ValueError when a series and period occur more than once, which would multiply rows in ``align``; needs an action."""
+    twice = df.groupBy(col(cfg.group), col(cfg.date).cast("date").alias("_d")).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"series {twice[0][0]} has {twice[0]['count']} rows of {twice[0]['_d']}")
+    return df
+
+
 def require_overlap(aligned: DataFrame) -> DataFrame:
     """The one check that needs an action: ValueError when nothing met."""
     if aligned.isEmpty():

@@ -67,36 +67,45 @@ def seasonal_naive(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return _flat(out, cfg, F.get("_ys", (F.col("_i") - 1) % F.size("_ys")))
 
 
+def one_series(t: np.ndarray, y: np.ndarray, cfg: ForecastConfig) -> tuple[np.ndarray, float, str | None]:
+    """(forecast, half width of the interval, reason of a fallback or null) of one series: ``t`` the values to model, ``y`` the values themselves, whose last one is the naive
+    forecast. Whatever fails in the model ends here, as the reason."""
+    fine, reason = t[np.isfinite(t)], None
+    if len(t) < cfg.min_history:
+        reason = f"{len(t)} periods, {cfg.min_history} needed"
+    elif not len(fine):
+        reason = "no finite value"
+    elif fine.max() - fine.min() < NARROW:
+        reason = "constant"
+    elif len(fine) < 2 * cfg.seasonal_period:
+        reason = "fewer than two seasons"
+    if reason is None:
+        try:
+            season, trend, rest = stl(fine, cfg.seasonal_period)
+            tail = season[-cfg.seasonal_period :]
+            hat = holt(trend + rest, cfg.horizon, cfg.smoothing_alpha) + tail[np.arange(cfg.horizon) % len(tail)]
+            half = NormalDist().inv_cdf(1 - cfg.alpha / 2) * rest.std(ddof=1)
+            if np.isfinite(hat).all() and np.isfinite(half):
+                return hat, float(half), None
+            reason = "the model gives no finite forecast"
+        except Exception as e:  # noqa: BLE001
+            reason = f"{type(e).__name__}: {e}"
+    return np.full(cfg.horizon, y[-1], float), 0.0, reason
+
+
 def long_forecast(df: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Seasonal-trend decomposition, Holt on what is not seasonal, the last cycle repeated on top; the interval's half width is z times the decomposition's remainder. A series that is too
-    short, too flat or not finite gets the naive forecast, with the reason. One series at a time on the executors; only four columns go there."""
+    short, too flat or not finite, or that fails in the model, gets the naive forecast, with the reason; the others are not touched by it. One series at a time on the executors; only four columns go there."""
     target = cfg.transformed or cfg.target
     require(df, cfg.group, cfg.date, target, cfg.target)
-    z = NormalDist().inv_cdf(1 - cfg.alpha / 2)
     names = [cfg.group, "_step", "y_hat", "y_hat_lower", "y_hat_upper", "_last", "method", "fallback_reason"]
     kind = df.schema[cfg.group].dataType
     schema = T.StructType([T.StructField(cfg.group, kind), T.StructField("_step", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in names[2:5]], T.StructField("_last", T.DateType()), T.StructField("method", T.StringType()), T.StructField("fallback_reason", T.StringType())])
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_d", kind="stable")
-        y = pdf["_t"].to_numpy(float)
-        steps, reason, half = np.arange(1, cfg.horizon + 1), None, 0.0
-        y = y[np.isfinite(y)]
-        if len(pdf) < cfg.min_history:
-            reason = f"{len(pdf)} periods, {cfg.min_history} needed"
-        elif not len(y):
-            reason = "no finite value"
-        elif y.max() - y.min() < NARROW:
-            reason = "constant"
-        elif len(y) < 2 * cfg.seasonal_period:
-            reason = "fewer than two seasons"
-        if reason is None:
-            season, trend, rest = stl(y, cfg.seasonal_period)
-            tail = season[-cfg.seasonal_period :]
-            hat = holt(trend + rest, cfg.horizon, cfg.smoothing_alpha) + tail[(steps - 1) % len(tail)]
-            half = z * rest.std(ddof=1)
-        else:
-            hat = np.full(cfg.horizon, pdf["_y"].iloc[-1], float)
+        hat, half, reason = one_series(pdf["_t"].to_numpy(float), pdf["_y"].to_numpy(float), cfg)
+        steps = np.arange(1, cfg.horizon + 1)
         return pd.DataFrame({cfg.group: pdf[cfg.group].iloc[0], "_step": steps, "y_hat": hat, "y_hat_lower": hat - half, "y_hat_upper": hat + half, "_last": pdf["_d"].iloc[-1], "method": "naive" if reason else "stl_holt", "fallback_reason": reason})[names]
 
     rows = df.where(col(cfg.date).isNotNull()).select(col(cfg.group), col(cfg.date).cast("date").alias("_d"), col(target).cast("double").alias("_t"), col(cfg.target).cast("double").alias("_y"))
