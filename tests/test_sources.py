@@ -95,3 +95,31 @@ def test_console(spark):
     assert said[0] == "a.py\nb.py" and "a.py :: fill" in said[1] and [q for q, _ in history] == ["more"]
     assert console.converse(index, ask=lambda _: (_ for _ in ()).throw(EOFError)) == [] and console.environment()["spark"]
     assert console.answer(index, "x", [("q", "a")], RetrievalConfig(), chat=lambda m: str(len(m))) == "4"
+
+
+def test_index_is_built_when_missing(spark, tmp_path):
+    for n, t in (("a.py", "x = 1\n"), ("b.sql", "select 1"), ("c.txt", "no")):
+        (tmp_path / n).write_text(t)
+    assert tables.read_texts(spark, str(tmp_path), ("*.py", "*.sql")).count() == 2
+    path, built = f"file://{tmp_path}/index", []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    assert not tables.exists(spark, path) and tables.saved_index(spark, path, build).count() == 3
+    assert tables.saved_index(spark, path, build).count() == 3 and len(built) == 1 and tables.exists(spark, path)
+    assert tables.saved_index(spark, path, build, anew=True).count() == 3 and len(built) == 2
+    assert len(tables.preview(spark.range(9), 4)) == 4
+
+
+def test_cuts_are_swept(spark):
+    import os
+
+    from tidegrid.functions import common
+
+    got = common.cut(spark.range(5))
+    at = got.inputFiles()[0].split("file://")[1]
+    assert os.path.exists(at)
+    common.sweep()
+    assert not os.path.exists(at)

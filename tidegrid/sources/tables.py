@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
+from collections.abc import Callable
 from zoneinfo import ZoneInfo
 
 import pandas as pd
@@ -62,17 +62,37 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def read_texts(spark: SparkSession, root: str, glob: str = "*.py") -> DataFrame:
-    """(file_path, text): one row a file of the tree."""
-    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
+def read_texts(spark: SparkSession, root: str, glob: str | tuple[str, ...] = "*.py") -> DataFrame:
+    """(file_path, text): one row a file of the tree whose name meets one of the globs."""
+    globs = (glob,) if isinstance(glob, str) else tuple(glob)
+    one = globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", one).text(root, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")).dropDuplicates(["file_path"])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """On whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    if "://" not in path and not os.path.exists(path):
+    if not exists(spark, path):
         raise FileNotFoundError(path)
     return spark.read.parquet(path)
 
 
+def saved_index(spark: SparkSession, path: str, build: Callable[[], DataFrame], anew: bool = False) -> DataFrame:
+    """The index at ``path``; where there is none, or ``anew``, it is built and written there first."""
+    if anew or not exists(spark, path):
+        write_parquet(build(), path)
+    return load_index(spark, path)
+
+
+def preview(df: DataFrame, rows: int = 20) -> pd.DataFrame:
+    """The first rows, for the eye."""
+    return df.limit(rows).toPandas()
+
+
 def to_pandas(df: DataFrame, limit: int | None = None) -> pd.DataFrame:
     return (df if limit is None else df.limit(limit)).toPandas()
