@@ -16,15 +16,15 @@ def _series(group: str) -> WindowSpec:
     return Window.partitionBy(col(group))
 
 
-def inactivity(df: DataFrame, value: str, date: str, group: str, threshold: int = 4, drop: bool = False) -> DataFrame:
+def inactivity(df: DataFrame, value: str, date: str, group: str, threshold: int = 4, drop: bool = False, until: DataFrame | None = None) -> DataFrame:
     """Seven columns on periods of no activity (null or zero). ``threshold`` N: a series was inactive if N periods in a row were; it is obsolete if it ends more than N weeks
-    before the whole panel. ``drop`` keeps what follows the last such stretch of series that are not obsolete. The panel's last date joins as one row, unseen by the driver."""
+    before the whole panel. ``drop`` keeps what follows the last such stretch of series that are not obsolete. The panel's last date joins as one row, unseen by the driver; ``until``: a cheaper frame of the same last date."""
     require(df, value, date, group)
     if threshold is None or threshold <= 0:
         raise ValueError("threshold must be greater than 0")
     w = _series(group)
     d = col(date)
-    out = df.crossJoin(F.broadcast(df.agg(F.max(d).alias("_end"))))
+    out = df.crossJoin(F.broadcast((df if until is None else until).agg(F.max(d).alias("_end"))))
     idle = F.when(col(value).isNull() | (col(value) == 0), 1).otherwise(0)
     out = out.withColumns({"is_inactive": idle, "series_min_date": F.min(d).over(w), "series_max_date": F.max(d).over(w)})
     out = out.withColumn("_run", F.sum("is_inactive").over(w.orderBy(d).rowsBetween(1 - threshold, 0)))
@@ -66,7 +66,7 @@ def fill_dims(df: DataFrame, dims: Sequence[str], date: str, group: str, fill: s
     w = _series(group).orderBy(col(date))
 
     def one(c: str) -> Column:
-        after = F.last(col(c), True).over(w.rowsBetween(START, END)) if fill == "latest" else F.first(col(c), True).over(w.rowsBetween(0, END))
+        after = F.last(col(c), True).over(w.rowsBetween(START, END)) if fill == "latest" else F.last(col(c), True).over(_series(group).orderBy(col(date).desc()).rowsBetween(START, 0))
         return F.coalesce(F.last(col(c), True).over(w.rowsBetween(START, 0)), after)
 
     return df.withColumns({c: one(c) for c in dims})

@@ -58,9 +58,10 @@ def _curve(y: np.ndarray, method: str, order: int) -> np.ndarray:
 def _linear(df: DataFrame, columns: Sequence[str], date: str, group: str) -> DataFrame:
     w = Window.partitionBy(col(group)).orderBy(col(date))
     out = df.withColumn("_rn", F.row_number().over(w))
+    back = Window.partitionBy(col(group)).orderBy(F.col("_rn").desc())  # a frame that grows: one that shrinks is evaluated anew for every row
     for c in columns:
         point = F.when(present(df, c), F.struct(F.col("_rn").alias("i"), col(c).cast("double").alias("v")))
-        p, n = F.last(point, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(point, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+        p, n = F.last(point, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last(point, True).over(back.rowsBetween(Window.unboundedPreceding, 0))
         out = out.withColumns({"_p": p, "_n": n})
         between = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (F.col("_rn") - F.col("_p.i")) / F.nullif(F.col("_n.i") - F.col("_p.i"), F.lit(0))
         value = F.when(F.col("_p").isNull(), F.col("_n.v")).when(F.col("_n").isNull(), F.col("_p.v")).otherwise(F.coalesce(between, F.col("_p.v")))

@@ -16,9 +16,10 @@ def preprocess(raw: DataFrame, cfg: PanelConfig, boxcox: bool = False) -> DataFr
     g, d, y = cfg.group, cfg.date, cfg.value
     df = panel.add_period(panel.clean(raw, cfg), cfg.raw_date, cfg.granularity, d)
     dims = [c for c in cfg.dims if c in df.columns]
-    df = panel.to_periods(df.where(F.col(d).isNotNull()), g, d, y, cfg.price, dims)
+    dated = df.where(F.col(d).isNotNull())
+    df = panel.to_periods(dated, g, d, y, cfg.price, dims)
     df = panel.fill_gaps(df, g, d, cfg.granularity)
-    df = flags.inactivity(df, y, d, g, cfg.inactive_threshold)
+    df = flags.inactivity(df, y, d, g, cfg.inactive_threshold, until=dated)
     df = flags.enough_data(df, y, g, cfg.insufficient_threshold)
     df = flags.fill_dims(df, dims, d, g)
     df = flags.outliers(df, cfg.outlier_columns or (y,), g, cfg.outlier_threshold, cfg.absolute_threshold)

@@ -498,7 +498,7 @@ def panel_fc(spark, d):
     return fc.panel_forecast(m, cfg).withColumns({c: F.round(c, 4) for c in ("y_hat", "y_hat_lower", "y_hat_upper")})
 
 
-@query(f"with {WF} select a.time_series_id, a.ds, round(b.y, 6) baseline from wf a join wf b on a.time_series_id = b.time_series_id and b.ds = a.ds - interval 364 day")
+@query(f"with {WF}, ly as (select time_series_id, cast(ds + interval 364 day as date) ds, y from wf) select a.time_series_id, a.ds, round(b.y, 6) baseline from wf a join ly b on a.time_series_id = b.time_series_id and a.ds = b.ds")
 def baseline_last_year(spark, d):
     return r6(fc.last_year(filled_w(spark, d), G, D, "y"), "baseline")
 
