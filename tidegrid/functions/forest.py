@@ -68,23 +68,27 @@ def isolation_scores(x: np.ndarray, source: np.ndarray, n_sources: int, trees: i
         node[here] = 2 * node[here] + (value > cut.reshape(-1)[key])
         if not len(here):
             break
+    # end nodes hand their path length down to all leaves below them, so that every row takes the same number of steps
+    path = np.zeros((len(live) * trees, nodes), np.float32)
+    for level in range(depth + 1):
+        a, z = 1 << level, 2 << level
+        ends = np.isinf(cut[:, a:z])
+        grown = np.repeat(np.isinf(cut[:, a // 2 : a]), 2, axis=1) if level else np.zeros_like(ends)
+        above = np.repeat(path[:, a // 2 : a], 2, axis=1) if level else path[:, a:z]
+        path[:, a:z] = np.where(grown, above, np.where(ends, level + average_path(held[:, a:z]), 0))
     # score every row in the trees of its source
     number = np.full(n_sources, -1)
     number[live] = np.arange(len(live))
     total = np.zeros(rows)
-    base = number[source] * trees
+    base = number[source] * (trees * nodes)
+    flat, row = np.ascontiguousarray(x).reshape(-1), np.arange(rows) * features
+    cut, feature, path = cut.reshape(-1), feature.reshape(-1), path.reshape(-1)
     for t in range(trees):
-        at = (base + t) * nodes + 1
-        off = (base + t) * nodes
-        depth_of = np.zeros(rows)
-        going = np.arange(rows)
+        off = base + t * nodes
         cur = np.ones(rows, np.int64)
         for _ in range(depth):
-            a = off[going] + cur[going]
-            c = cut.reshape(-1)[a]
-            ok = np.isfinite(c)
-            going, a, c = going[ok], a[ok], c[ok]
-            cur[going] = 2 * cur[going] + (x[going, feature.reshape(-1)[a]] > c)
-            depth_of[going] += 1
-        total += depth_of + average_path(held.reshape(-1)[off + cur])
+            at = off + cur
+            cur += cur
+            cur += flat[row + feature[at]] > cut[at]
+        total += path[off + cur]
     return 2.0 ** (-(total / trees) / max(average_path(np.array([sample]))[0], 1e-9))
