@@ -5,7 +5,7 @@ is the entity's own level times its cluster's median pattern for that month and
 records, else of its cluster. What a node cannot answer its parent does: (entity, month) in (entity), in cluster, in all.
 
 Defined results: null, NaN and (in text columns) every text that is not a valid value, case and outer white space aside, are missing; valid
-texts in another guise are present and are given in their valid spelling; a cell that not even the whole table can fill stays null, with method ``none``;
+texts in another guise are present and are given in their valid spelling; a cell that not even the whole table can fill stays null, with method ``none``, and is not filled;
 whole-row duplicates count once; a null entity is an entity without records of its own; other columns are not read.
 """
 
@@ -56,7 +56,7 @@ def fill_numbers(df: DataFrame, key: str, entity: str, day: str, value: str, gro
     )
     ents = cut(ents)
     ents = kprototypes(ents, ["f_level", "f_zero", "f_weekend", "f_spread"], [f"g{i}" for i in range(len(groups))], CLUSTERS).select("source", "level", "middle", "cluster")
-    wide = rows.join(ents, "source", "left").select("*", F.month("day").alias("mo"), F.dayofweek("day").alias("dow"))
+    wide = rows.join(ents.hint("shuffle_hash"), "source", "left").select("*", F.month("day").alias("mo"), F.dayofweek("day").alias("dow"))
     ratio = F.when(F.col("level") > 0, F.col("v") / F.col("level"))
     # cluster patterns: at most CLUSTERS x 12 x 7 rows, and their parents
     pattern = wide.where(ratio.isNotNull() & F.col("cluster").isNotNull()).groupBy("cluster", "mo", "dow").agg(_middle(ratio).alias("r"), F.count("*").alias("n"))
@@ -74,7 +74,7 @@ def fill_numbers(df: DataFrame, key: str, entity: str, day: str, value: str, gro
         ("cluster", F.when(F.col("cluster").isNotNull(), F.col("cluster_middle"))),
         ("all", F.col("all_middle")),
     )
-    filled = gone.select("row_key", "source", "day", F.coalesce(*[v for _, v in ways]).alias("v"), F.lit(True).alias("is_filled"), F.coalesce(*[F.when(v.isNotNull(), n) for n, v in ways], F.lit("none")).alias("method"))
+    filled = gone.select("row_key", "source", "day", F.coalesce(*[v for _, v in ways]).alias("v"), F.coalesce(*[v for _, v in ways]).isNotNull().alias("is_filled"), F.coalesce(*[F.when(v.isNotNull(), n) for n, v in ways], F.lit("none")).alias("method"))
     kept = rows.where("v is not null").select("row_key", "source", "day", "v", F.lit(False).alias("is_filled"), F.lit("observed").alias("method"))
     return kept.unionByName(filled)
 
@@ -118,8 +118,8 @@ def fill_texts(df: DataFrame, key: str, entity: str, valid: Mapping[str, Sequenc
         ways = (("entity", own), ("cluster", of_cluster), ("all", F.lit(best(per, i, c)).cast("string")))
         parts.append(F.struct(F.lit(c).alias("column_name"), F.coalesce(*[v for _, v in ways]).alias("fill"), F.coalesce(*[F.when(v.isNotNull(), n) for n, v in ways], F.lit("none")).alias("how")))
     answers = clustered.select("source", F.array(*parts).alias("answers"))
-    got = rows.join(answers, rows["source"].eqNullSafe(answers["source"]), "left").drop(answers["source"])
+    got = rows.join(answers.hint("shuffle_hash"), rows["source"].eqNullSafe(answers["source"]), "left").drop(answers["source"])
     cells = F.arrays_zip(F.array(*[F.col(f"t{i}") for i in range(len(names))]).alias("seen"), F.col("answers"))
     got = got.select("row_key", "source", F.explode(cells).alias("x"))
     gone = F.col("x.seen").isNull()
-    return got.select("row_key", "source", F.col("x.answers.column_name").alias("column_name"), F.coalesce("x.seen", "x.answers.fill").alias("value"), gone.alias("is_filled"), F.when(gone, F.col("x.answers.how")).otherwise("observed").alias("method"))
+    return got.select("row_key", "source", F.col("x.answers.column_name").alias("column_name"), F.coalesce("x.seen", "x.answers.fill").alias("value"), (gone & F.col("x.answers.fill").isNotNull()).alias("is_filled"), F.when(gone, F.col("x.answers.how")).otherwise("observed").alias("method"))
