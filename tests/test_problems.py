@@ -63,7 +63,7 @@ def test_rolling_against_brute_force(spark):
 def test_rolling_empty_and_bad(spark):
     df = _messy(spark)
     assert rolling.rolling_totals(df.limit(0), "entity", "ds", "y").count() == 0
-    for periods in ((), (0,), (65,)):
+    for periods in ((), (0,), (7, -1)):
         with pytest.raises(ValueError):
             rolling.rolling_totals(df, "entity", "ds", "y", periods)
 
@@ -256,3 +256,38 @@ def test_kprototypes_separates(spark):
     out = kprototypes(df, ["n"], ["c"], 2).toPandas()
     known = out[out.n.notna()]
     assert known.groupby(known.source.str[1:].astype(int) % 2).cluster.nunique().tolist() == [1, 1] and out.cluster.nunique() == 2
+
+
+def test_long_periods_and_corrected_trees_against_brute_force(spark):
+    """Periods over many shards, spans with empty shards between, answers from trees that were stored and corrected."""
+    df = _messy(spark, 4)
+    p = df.select("row_id", "entity", "ds", "y").dropDuplicates().dropna(subset=["entity", "ds"]).toPandas()
+    periods = (1, 64, 65, 128, 200, 365)
+    direct = rolling.rolling_totals(df, "entity", "ds", "y", periods, ["row_id"]).toPandas()
+    daily = rolling.daily_totals(df, "entity", "ds", "y", ["row_id"])
+    late = F.pmod(F.xxhash64("entity", "day"), F.lit(3)) == 0
+    stored = rolling.correct_trees(rolling.build_trees(daily.where(~late)), daily.where(late))
+    stored = rolling.rolling_from_trees(stored, periods, "entity", "ds").toPandas()
+    for got in (direct, stored):
+        got = got.set_index(["entity", "ds"])
+        assert len(got) == sum((d.ds.max() - d.ds.min()).days + 1 for _, d in p.groupby("entity"))
+        for (g, day), r in got.sample(200, random_state=1).iterrows():
+            d = p[p.entity == g]
+            for k in periods:
+                v = d[(d.ds <= day) & (d.ds > day - dt.timedelta(days=k))].y.dropna()
+                assert r[f"count_{k}"] == len(v) and r[f"total_{k}"] == pytest.approx(v.sum())
+    with pytest.raises(ValueError):
+        rolling.rolling_totals(df, "entity", "ds", "y", (0,))
+
+
+def test_the_forest_proposes(monkeypatch):
+    """No reading that the forest passes over is a spike, and it passes over most."""
+    rng = np.random.default_rng(3)
+    v = rng.integers(90, 110, 400).astype(float)
+    v[[50, 200, 333]] = 900, 20, 5000
+    day, piece = np.arange(400), np.zeros(400, np.int64)
+    judge = lambda t=spikes.THRESHOLD: spikes.judge(v, day, piece, np.array([True]), np.ones(400, bool), True, t)
+    got = judge()
+    assert np.flatnonzero(got["kind"] == "spike").tolist() == [50, 200, 333] and (got["score"] >= spikes.THRESHOLD).mean() < 0.4
+    monkeypatch.setattr(spikes, "isolation_scores", lambda x, source, n: np.zeros(len(x)))
+    assert not (judge()["kind"] == "spike").any() and (judge(0.0)["kind"] == "spike").sum() == 3

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.functions.common import cut
 from tidegrid.operators.fill import fill_numbers, fill_texts
 from tidegrid.operators.grid import regular_days
-from tidegrid.operators.profile import DECIMALS, TRUE, Rule, departures, load_profile, quality_profile, texts, value_counts
-from tidegrid.operators.rolling import rolling_totals
+from tidegrid.operators.profile import DECIMALS, TRUE, Rule, departures, load_profile, quality_profile, stability, texts, value_counts
+from tidegrid.operators.rolling import build_trees, correct_trees, daily_totals, rolling_from_trees, rolling_totals
 from tidegrid.operators.spikes import implausible_rows, score_readings
 
 STORE_TYPES = ("city", "mall", "kiosk", "depot")
@@ -42,6 +43,22 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return got.select("time_series_id", _text("ds").alias("ds"))
 
 
+def p1_long(spark: SparkSession, d: str) -> DataFrame:
+    """Periods that reach over several shards."""
+    got = rolling_totals(_ts(spark, d), "time_series_id", "ds", "y_clean", (90, 365), ["row_id"])
+    return got.select("time_series_id", _text("ds").alias("ds"), *[e for p in (90, 365) for e in (F.round(f"total_{p}", 4).alias(f"total_{p}"), F.col(f"count_{p}"))])
+
+
+def p1_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """Trees of all loads but the last are stored; the last load corrects them; the corrected trees answer as if all rows had been there."""
+    last = F.broadcast(_ts(spark, d).agg(F.max("load_id").alias("last_load")))
+    rows = _ts(spark, d).crossJoin(last)
+    daily = lambda which: daily_totals(rows.where(which), "time_series_id", "ds", "y_clean", ["row_id"])
+    trees = cut(build_trees(daily("load_id < last_load or load_id is null")))
+    got = rolling_from_trees(correct_trees(trees, daily("load_id = last_load")), (7, 30), "time_series_id", "ds")
+    return got.select("time_series_id", _text("ds").alias("ds"), *[e for p in (7, 30) for e in (F.round(f"total_{p}", 6).alias(f"total_{p}"), F.round(f"avg_{p}", 6).alias(f"avg_{p}"), F.col(f"count_{p}"))])
+
+
 def p2_profile(spark: SparkSession, d: str) -> DataFrame:
     ts, panel = _ts(spark, d), _panel(spark, d)
     a = quality_profile(ts, "load_id", [c for c in ts.columns if c != "load_id"], TS_RULES).select(F.lit("ts_preprocessed").alias("table_name"), "*")
@@ -51,12 +68,44 @@ def p2_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     counts = value_counts(_panel(spark, d), "load_id", ["StoreType", "Assortment", "PromoInterval", "StateHoliday", "y"])
-    return load_profile(counts, PANEL_RULES).select("column_name", "load_id", "n_rows", "n_missing", "n_distinct", "n_ill_formed")
+    return load_profile(counts, PANEL_RULES).select("column_name", "load_id", "n_rows", "n_missing", "n_distinct", "min_value", "max_value", "n_ill_formed")
+
+
+#: Columns whose ranges are compared with SQL as numbers; the others are compared as texts.
+NUMBERS = {"ts_preprocessed": ("row_id", "y", "product_wavg_unit_price", "y_clean", "is_inactive", "series_length"), "rossmann_panel": ("reading_id", "y", "Promo")}
+TEXTS = {"ts_preprocessed": ("time_series_id", "soldto_id", "item_id", "ds", "y_is_outlier", "is_obsolete", "series_min_date", "series_max_date", "is_short_series", "table_update_datetime"),
+         "rossmann_panel": ("time_series_id", "StateHoliday", "StoreType", "Assortment", "PromoInterval", "is_short_series")}
+
+
+def _tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"ts_preprocessed": _ts(spark, d), "rossmann_panel": _panel(spark, d)}
+
+
+def p2_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, missing cells, distinct values and ranges of every column but the times of rossmann_panel, by load."""
+    out = None
+    for name, df in _tables(spark, d).items():
+        got = load_profile(value_counts(df, "load_id", [*NUMBERS[name], *TEXTS[name]]))
+        number = F.col("column_name").isin(*NUMBERS[name])
+        cols = [F.when(number, F.expr(f"cast({m}_value as double)")).alias(f"{m}_number") for m in ("min", "max")] + [F.when(~number, F.col(f"{m}_value")).alias(f"{m}_text") for m in ("min", "max")]
+        got = got.select(F.lit(name).alias("table_name"), "column_name", "load_id", "n_rows", "n_missing", "n_distinct", *cols)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def p2_stability(spark: SparkSession, d: str) -> DataFrame:
+    """PSI and chi-square of the numbers of every load against those of all others."""
+    out = None
+    for name, df in _tables(spark, d).items():
+        got = stability(value_counts(df, "load_id", NUMBERS[name])).select(F.lit(name).alias("table_name"), "column_name", "load_id", F.round("psi", 5).alias("psi"), F.round("chi2", 2).alias("chi2"))
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    a = departures(load_profile(value_counts(_ts(spark, d), "load_id", ["y_clean", "is_short_series"]), TS_RULES))
-    b = departures(load_profile(value_counts(_panel(spark, d), "load_id", ["PromoInterval"]), PANEL_RULES))
+    # a row for each load and column, written once: three branches of departures read it, and each would scan the table anew
+    a = departures(cut(load_profile(value_counts(_ts(spark, d), "load_id", ["y_clean", "is_short_series"]), TS_RULES)))
+    b = departures(cut(load_profile(value_counts(_panel(spark, d), "load_id", ["PromoInterval"]), PANEL_RULES)))
     both = a.withColumn("table_name", F.lit("ts_preprocessed")).unionByName(b.withColumn("table_name", F.lit("rossmann_panel")))
     return both.select("table_name", "column_name", "load_id", "kind")
 
@@ -98,12 +147,12 @@ def p7_filled(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     a, b = _fills(spark, d)
-    a = a.where("is_filled").select(F.lit("ts_preprocessed").alias("table_name"), "row_key", F.lit("y_clean").alias("column_name"))
-    return a.unionByName(b.where("is_filled").select(F.lit("rossmann_panel").alias("table_name"), "row_key", "column_name")).distinct()
+    a = a.where("method <> 'observed'").select(F.lit("ts_preprocessed").alias("table_name"), "row_key", F.lit("y_clean").alias("column_name"))
+    return a.unionByName(b.where("method <> 'observed'").select(F.lit("rossmann_panel").alias("table_name"), "row_key", "column_name")).distinct()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_rolling, p1_found, p2_profile, p2_counts, p2_found, p4_grid, p4_found, p5_scores, p5_found, p7_filled, p7_found)}
+    return {f.__name__: f for f in (p1_rolling, p1_found, p1_long, p1_corrected, p2_profile, p2_counts, p2_ranges, p2_stability, p2_found, p4_grid, p4_found, p5_scores, p5_found, p7_filled, p7_found)}
 
 
 _CAL = """with d as (select time_series_id g, ds, sum(case when not isnan(y_clean) then y_clean end) s, count(case when not isnan(y_clean) then 1 end) c
@@ -134,6 +183,31 @@ def _shares(table: str, column: str, gone: str, groups: dict[str, str]) -> str:
     return f"""select distinct '{table}' table_name, '{column}' column_name, load_id, kind from (select *, median(share) over (partition by kind, g) usual from ({" union all ".join(parts)})) where abs(share - usual) >= far - 1e-9"""
 
 
+def _there(c: str) -> str:
+    """The cell as a number, null where it is null or NaN."""
+    return f"(case when not isnan(cast({c} as double)) then cast({c} as double) end)"
+
+
+def _range(table: str, c: str, number: bool) -> str:
+    x = _there(c) if number else f"cast({c} as varchar)"
+    ends = [f"{m}({x}) {m}_number, cast(null as varchar) {m}_text" if number else f"cast(null as double) {m}_number, {m}({x}) {m}_text" for m in ("min", "max")]
+    return f"select '{table}' table_name, '{c}' column_name, load_id, count(*) n_rows, count(*) - count({x}) n_missing, count(distinct {x}) n_distinct, {', '.join(ends)} from {table} group by load_id"
+
+
+def _psi(table: str, c: str) -> str:
+    x = _there(c)
+    return f"""select '{table}' table_name, '{c}' column_name, load_id, round(sum((p - q) * ln(p / q)), 5) psi, round(sum((n - q * of) ** 2 / (q * of)), 2) chi2 from (
+ select *, (n + 0.5) / (of + 0.5 * k) p, (bin_n - n + 0.5) / (all_n - of + 0.5 * k) q from (
+  select l.load_id, l.of, coalesce(b.n, 0) n, sum(coalesce(b.n, 0)) over (partition by g.bin) bin_n, sum(l.of) over (partition by g.bin) all_n, count(*) over (partition by l.load_id) k
+  from (select load_id, count(*) of from {table} group by 1) l cross join (select distinct {_bin(x)} bin from {table}) g
+  left join (select load_id, {_bin(x)} bin, count(*) n from {table} group by 1, 2) b on l.load_id is not distinct from b.load_id and g.bin = b.bin)) group by load_id"""
+
+
+def _bin(x: str) -> str:
+    """Sign and binary exponent, or missing."""
+    return f"case when {x} is null then 'missing' when {x} = 0 then '0' else concat(sign({x}), ' ', floor(ln(abs({x})) / ln(2.0))) end"
+
+
 _TEN = "y_clean = round(y_clean, 0)"
 _GOOD_DAYS = "select distinct time_series_id, cast(ds as date) d from rossmann_panel where ds is not null and y is not null and time_series_id is not null"
 
@@ -147,12 +221,18 @@ def sql() -> dict[str, str]:
     cells = []
     for c in ("StoreType", "Assortment", "PromoInterval", "StateHoliday", "y"):
         bad = f"count(case when {c} not in {in_(PROMO_INTERVALS)} then 1 end)" if c == "PromoInterval" else "0"
-        cells.append(f"select '{c}' column_name, load_id, count(*) n_rows, count(*) - count({c}) n_missing, count(distinct {c}) n_distinct, {bad} n_ill_formed from rossmann_panel group by load_id")
+        cells.append(f"select '{c}' column_name, load_id, count(*) n_rows, count(*) - count({c}) n_missing, count(distinct {c}) n_distinct, cast(min({c}) as varchar) min_value, cast(max({c}) as varchar) max_value, {bad} n_ill_formed from rossmann_panel group by load_id")
     return {
         "p1_rolling": _CAL + ", r as (select *, case when count_7 > 0 then t7 / count_7 end a7, case when count_30 > 0 then t30 / count_30 end a30 from w) "
         "select time_series_id, ds, round(t7, 6) total_7, round(a7, 6) avg_7, count_7, round(t30, 6) total_30, round(a30, 6) avg_30, count_30 from r",
+        "p1_long": _CAL.replace("rows 6 preceding", "rows 89 preceding").replace("rows 29 preceding", "rows 364 preceding")
+        + "select time_series_id, ds, round(t7, 4) total_90, count_7 count_90, round(t30, 4) total_365, count_30 count_365 from w",
+        "p1_corrected": _CAL + ", r as (select *, case when count_7 > 0 then t7 / count_7 end a7, case when count_30 > 0 then t30 / count_30 end a30 from w) "
+        "select time_series_id, ds, round(t7, 6) total_7, round(a7, 6) avg_7, count_7, round(t30, 6) total_30, round(a30, 6) avg_30, count_30 from r",
         "p1_found": _CAL + "select time_series_id, ds from w where count_7 = 0 and count_30 > 0",
         "p2_counts": " union all ".join(cells),
+        "p2_ranges": " union all ".join(_range(t, c, c in NUMBERS[t]) for t in NUMBERS for c in (*NUMBERS[t], *TEXTS[t])),
+        "p2_stability": " union all ".join(_psi(t, c) for t in NUMBERS for c in NUMBERS[t]),
         "p2_found": " union all ".join([
             _shares("ts_preprocessed", "y_clean", "y_clean is null or isnan(y_clean)", {"0": _TEN, "1": f"y_clean = round(y_clean, 1) and not {_TEN}", "2": "y_clean = round(y_clean, 2) and y_clean <> round(y_clean, 1)"}),
             _shares("ts_preprocessed", "is_short_series", "is_short_series is null", {"true": "is_short_series"}),
