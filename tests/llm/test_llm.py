@@ -59,6 +59,15 @@ def test_recall_of_all_neighbours(vectors):
     assert (got.groupby("id_a").size() == 10).all()
 
 
+def test_tiles_change_nothing(vectors, monkeypatch):
+    df = vectors[0].where("id < 'w'")  # without equal vectors
+    ask = lambda: {(r.id_a, r.id_b) for r in neighbours.nearest(df, "id", "e", 5, None, trees=2, visits=3, leaf_size=400, compact=False).collect()}
+    whole = ask()
+    monkeypatch.setattr(neighbours, "TILE", 90)
+    monkeypatch.setattr(neighbours, "VISITORS", 170)
+    assert ask() == whole and len(whole) == 5 * 1500
+
+
 @pytest.mark.parametrize("n", [2987, 29802])
 def test_recall_of_the_query_on_clean_tables(spark, tmp_path, n):
     """No unusable row, and a number of rows that is no multiple of eight."""
@@ -283,6 +292,17 @@ def test_mix(spark):
     assert none.count() == 0 and rep.toPandas().actual_share.isna().all()
 
 
+def test_mix_cuts_the_border_again_and_again(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a" if i % 3 else "b", f"word number {i} " * (1 + i % 5)) for i in range(4000)], "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.7, 1), ("b", 0.3, 2)], "source string, target_share double, max_repeats int")
+    monkeypatch.setattr(mixing, "PARTS", (4, 4, 4))
+    drawn, report = mixing.mix(docs, targets)
+    p, r = drawn.toPandas(), report.toPandas().set_index("source")
+    assert p.doc_id.is_unique and p.repeats.max() <= 2 and abs(r.actual_share["a"] - 0.7) < 0.002
+    wanted = {x.source: x.wanted for x in mixing.water_fill([(s, r.target_share[s], int(r.max_repeats[s]), int(r.available_tokens[s])) for s in "ab"])}
+    assert all(abs(r.drawn_tokens[s] - wanted[s]) <= p.n_tokens.max() for s in "ab")
+
+
 def test_mix_of_the_tokens_at_hand(spark, tmp_path):
     rows = [(i, "scarce" if i < 10 else "big" if i % 2 else "wide", f"word number {i} ") for i in range(2000)]
     spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -344,7 +364,7 @@ def test_nearest_examples_are_exact():
         at = slice(ex.index.post[t], ex.index.post[t + 1])
         dense[ex.index.ids[at], t] = ex.index.weights[at]
     assert np.allclose(np.linalg.norm(dense, axis=1)[dense.any(axis=1)], 1, atol=1e-5)
-    p = model.reader.batch([t for _, t, _ in _docs(40, 4)])
+    p = model.reader.batch([t for _, t, _ in _docs(150, 4)])
     border, term, w = ex.weighted(p.numbers, p.start)
     score = ex.score(p.numbers, p.start)
     some = 0

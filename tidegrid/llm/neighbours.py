@@ -1,7 +1,8 @@
 """The k most similar vectors of every vector, by a forest of random-projection trees.
 
 Trees are fitted on a bounded sample; every vector is indexed in one leaf of each tree and asks ``visits`` leaves, chosen by one priority queue over all trees. Leaves meet their
-visitors in one shuffle, as single bytes (``compact``) or floats; each leaf ranks its members for each visitor, and the best of all leaves are merged. Compact
+visitors in one shuffle, as single bytes (``compact``) or floats; each leaf ranks its members for each visitor, tile by tile, so that no task holds more than a tile of
+members and a block of visitors, and the best of all leaves are merged. Compact
 candidates are then reranked with the exact vectors.
 
 Defined results: a vector is usable if it has ``dims`` finite values, not all zero; others, and null ids, neither ask nor answer; rows that repeat count once (an id has one vector); ties go to the smaller id;
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from tidegrid.functions.common import col, cut, require
 from tidegrid.llm.forest import Forest, fit
 
-#: Most vectors that shape the trees; all are indexed. Classes of copies that are broadcast at most, beyond that they are joined by shuffle.
-SAMPLE, BIG_CLASSES = 32_768, 100_000
+#: Vectors that shape the trees: so many at least, so many for each leaf, and so many at most; all are indexed.
+SAMPLE, LEAF_SAMPLE, MOST_SAMPLE = 32_768, 16, 262_144
+#: Members of a leaf that one task ranks, and visitors that it ranks them for; larger leaves are tiled. Classes of copies that are broadcast at most, beyond that they are joined by shuffle.
+TILE, VISITORS, BIG_CLASSES = 16_384, 65_536, 100_000
 #: What a cosine of single bytes may be off.
 SLACK = 0.01
 
@@ -81,13 +84,23 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
     n = vectors.count()
     depth = max(1, math.ceil(math.log2(max(n, 2) / leaf_size)))
     depth = depth if max_depth is None else min(depth, max_depth)
-    share = min(1.0, SAMPLE / max(n, 1))
-    sample = sorted((r["id"], bytes(r["v"])) for r in vectors.where(F.abs(F.xxhash64("id") % 1_000_003) < math.ceil(share * 1_000_003)).limit(2 * SAMPLE).collect())
+    size = min(max(SAMPLE, LEAF_SAMPLE << depth), MOST_SAMPLE)
+    share = min(1.0, size / max(n, 1))
+    sample = sorted((r["id"], bytes(r["v"])) for r in vectors.where(F.abs(F.xxhash64("id") % 1_000_003) < math.ceil(share * 1_000_003)).limit(2 * size).collect())
     x = np.frombuffer(b"".join(v for _, v in sample), np.float32).reshape(len(sample), dims)
     forest = fit(x, trees, depth, seed)
-    shared = vectors.sparkSession.sparkContext.broadcast((forest.directions, forest.cuts))
+    # tiles of members and blocks of visitors that each leaf is cut into, by its share of the sample
+    members, askers = np.zeros(trees << depth), np.zeros(trees << depth)
+    for at in range(0, len(x), 4096):
+        leaf, own = forest.visits(x[at : at + 4096], max(visits, trees))
+        np.add.at(members, leaf[:, own], 1)
+        np.add.at(askers, leaf, 1)
+    scale = n / max(len(x), 1)
+    tiles, blocks = (np.maximum(np.ceil(c * scale / most), 1).astype(np.int64) for c, most in ((members, TILE), (askers, VISITORS)))
+    shared = vectors.sparkSession.sparkContext.broadcast((forest.directions, forest.cuts, tiles, blocks))
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Forest(*shared.value)
+        forest, (tiles, blocks) = Forest(*shared.value[:2]), shared.value[2:]
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 b = whole.slice(at, 4096)
@@ -98,11 +111,21 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
                     body = np.rint(v / scale).astype(np.int8)
                 else:
                     body = v
-                row = pa.array(np.repeat(np.arange(len(v)), leaf.shape[1]))
                 once = np.ones(leaf.shape, bool)
                 for j in range(1, leaf.shape[1]):
                     once[:, j] = (leaf[:, :j] != leaf[:, j : j + 1]).all(axis=1)
-                yield pa.RecordBatch.from_pydict({"leaf": pa.array(leaf.reshape(-1)), "id": b["id"].take(row), "own": pa.array(np.tile(own, len(v))), "body": packed(body).take(row)}).filter(pa.array(once.reshape(-1)))
+                # as a visitor to each tile of a leaf, in its own block; as a member to each block, in its own tile; both in one row where they meet
+                place, own, at_row = leaf[once], np.broadcast_to(own, leaf.shape)[once], np.repeat(np.arange(len(v)), leaf.shape[1])[once.reshape(-1)]
+                h = b["h"].to_numpy().astype(np.uint64)[at_row]
+                tile, block = (h % tiles[place].astype(np.uint64)).astype(np.int64), ((h >> np.uint64(32)) % blocks[place].astype(np.uint64)).astype(np.int64)
+                kinds = [(np.flatnonzero(tiles[place] > t), "visitor", t) for t in range(int(tiles[place].max(initial=0)))] + [(np.flatnonzero(own & (blocks[place] > k) & (block != k)), "member", k) for k in range(int(blocks[place].max(initial=0)))]
+                for use, kind, k in kinds:
+                    if len(use):
+                        asks = kind == "visitor"
+                        yield pa.RecordBatch.from_pydict({
+                            "leaf": pa.array(place[use]), "tile": pa.array(np.full(len(use), k) if asks else tile[use]), "block": pa.array(block[use] if asks else np.full(len(use), k)), "id": b["id"].take(pa.array(at_row[use])),
+                            "own": pa.array(own[use] & (tile[use] == k) if asks else np.ones(len(use), bool)), "asks": pa.array(np.full(len(use), asks)), "body": packed(body).take(pa.array(at_row[use])),
+                        })
 
     def rank(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -121,10 +144,12 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
         step = max(64, 8_000_000 // max(len(member), 1))
         place = np.full(len(v), -1)
         place[member] = np.arange(len(member))
-        for at in range(0, len(v), step):
-            got = v[at : at + step] @ m
+        asks = np.flatnonzero(table["asks"].to_numpy(zero_copy_only=False))
+        for at in range(0, len(asks) if len(member) else 0, step):
+            who = asks[at : at + step]
+            got = v[who] @ m
             rows = np.arange(len(got))
-            mine = place[at : at + step]
+            mine = place[who]
             got[rows[mine >= 0], mine[mine >= 0]] = -3
             if min_cosine is not None:
                 r, c = np.nonzero(got >= bar)
@@ -133,7 +158,7 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
                 r, c = np.repeat(rows, top.shape[1]), top.reshape(-1)
                 ok = got[r, c] > -2.5
                 r, c = r[ok], c[ok]
-            a.append(r + at)
+            a.append(who[r])
             b.append(member[c])
             s.append(got[r, c])
         a, b, s = (np.concatenate(z) if z else np.zeros(0, int) for z in (a, b, s))
@@ -145,8 +170,8 @@ def search(vectors: DataFrame, k: int, trees: int, visits: int, leaf_size: int,
             a, b, s = a[nth < keep], b[nth < keep], s[nth < keep]
         return pa.table({"id_a": ids.take(pa.array(a.astype(np.int64))), "id_b": ids.take(pa.array(b.astype(np.int64))), "cosine": pa.array(s.astype(np.float64))})
 
-    routed = vectors.mapInArrow(route, "leaf bigint, id string, own boolean, body binary")
-    return routed.groupBy("leaf").applyInArrow(rank, "id_a string, id_b string, cosine double")
+    routed = vectors.select("id", "v", F.xxhash64("id", F.lit(seed)).alias("h")).mapInArrow(route, "leaf bigint, tile bigint, block bigint, id string, own boolean, asks boolean, body binary")
+    return routed.groupBy("leaf", "tile", "block").applyInArrow(rank, "id_a string, id_b string, cosine double")
 
 
 def best(pairs: DataFrame, k: int) -> DataFrame:
