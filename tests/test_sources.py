@@ -123,3 +123,11 @@ def test_cuts_are_swept(spark):
     assert os.path.exists(at)
     common.sweep()
     assert not os.path.exists(at)
+
+
+def test_index_errors(spark):
+    files = spark.createDataFrame([("a.py", "x = 1")], "file_path string, text string")
+    assert retrieval.checked_index(files).count() == 1
+    for bad in (files.limit(0), files.withColumn("text", F.lit(" \n ")), files.withColumn("text", F.lit(1))):
+        with pytest.raises(ValueError):
+            retrieval.checked_index(bad)

@@ -81,6 +81,19 @@ def build_index(files: DataFrame, size: int = 2000, overlap: int = 200, embedder
     return embed(not_blank(overlapping_parts(structural_chunks(files), size=size, overlap=overlap)), embedder=embedder)
 
 
+def checked_index(files: DataFrame, text: str = "text", **how) -> DataFrame:
+    """``build_index`` with its errors: ValueError where texts are no texts, there is no file, or no file gives a chunk. Needs two small actions."""
+    require(files, text)
+    if files.schema[text].dataType.typeName() not in ("string", "varchar", "char"):
+        raise ValueError(f"{text} must hold texts, is {files.schema[text].dataType.simpleString()}")
+    if files.isEmpty():
+        raise ValueError("no files to index")
+    got = build_index(files, **how)
+    if got.drop("embedding").isEmpty():
+        raise ValueError("all files are blank: nothing to index")
+    return got
+
+
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-8)

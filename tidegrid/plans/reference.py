@@ -738,3 +738,78 @@ def preprocess_pipeline(spark, d):
     raw = panel.enrich(lineitem(spark, d), s, "l_suppkey").select(F.col("l_suppkey"), F.col("l_shipdate").alias("date"), F.col("l_quantity").alias("y"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), "s_nationkey", "l_orderkey", "l_linenumber")
     cfg = PanelConfig(key_columns=("l_suppkey",), price="price", customer_dims=("s_nationkey",))
     return pipeline.preprocess(raw, cfg, boxcox=True)
+
+
+# what SQL can say of the numerical operators
+
+_KNOWN = f"with {WF} select time_series_id, ds, round(y, 6) y_int, (select count(*) from wf) n_filled from wf where y is not null"
+
+
+def _known(df: DataFrame) -> DataFrame:
+    """Observed values stay as they are, and no period of a series that has any value stays empty."""
+    filled = df.agg(F.count("y_int").alias("n_filled"))
+    return r6(df.where("y is not null").select(G, D, "y_int"), "y_int").crossJoin(F.broadcast(filled))
+
+
+@query(_KNOWN)
+def interp_poly_known(spark, d):
+    return _known(impute.interpolate(filled_w(spark, d), ["y"], D, G, "polynomial", 3))
+
+
+@query(_KNOWN)
+def interp_spline_known(spark, d):
+    return _known(impute.interpolate(filled_w(spark, d), ["y"], D, G, "spline", 3))
+
+
+@query(f"with {W}, k as (select *, max(y) over g - min(y) over g < 1e-12 flat, min(y) over g <= 0 low from w window g as (partition by time_series_id)) select time_series_id, ds, round(y, 4) y, flat or low is_constant from k")
+def boxcox_round_trip(spark, d):
+    """Transformed with the fitted lambda of the series and back."""
+    there = transform.boxcox_transform(panel_w(spark, d), G, "y")
+    back = transform.inverse_boxcox(there.withColumnRenamed("y", "_y"), ["y_transformed"])
+    return back.select(G, D, F.round("y_transformed", 4).alias("y"), "is_constant")
+
+
+_LONG = f"""with {SPLIT}, f as (select tr.*, count(*) over (partition by time_series_id) n, max(y) over (partition by time_series_id) - min(y) over (partition by time_series_id) spread from tr),
+last as (select time_series_id, max(ds) ds, max(n) n, max(spread) spread from f group by 1), st as (select unnest(range(1, 27)) i)"""
+
+
+@query(f"""{_LONG} select time_series_id, cast(last.ds + i * interval 7 day as date) ds, case when n < 104 or spread < 1e-12 then 'naive' else 'stl_holt' end "method",
+ case when n < 104 then n || ' periods, 104 needed' when spread < 1e-12 then 'constant' end fallback_reason, true ordered from last, st""")
+def long_fc_methods(spark, d):
+    """Dates, methods, reasons, and bounds on the right sides of the forecast."""
+    ordered = F.expr("y_hat_lower <= y_hat and y_hat <= y_hat_upper and abs(y_hat) < 1e12")
+    return fc.long_forecast(_ready(spark, d), FC).select(G, D, "method", "fallback_reason", ordered.alias("ordered"))
+
+
+@query(f"""with {MF}, t as (select time_series_id, max(ds) last, count(*) n, max(y) - min(y) spread from mf group by 1), st as (select unnest(range(1, 7)) i)
+ select time_series_id, cast(last + i * interval 1 month as date) ds, case when n < 48 then 'seasonal_naive' when spread < 1e-12 then 'naive' else 'stl_holt' end "method" from t, st""")
+def panel_fc_methods(spark, d):
+    return panel_fc(spark, d).select(G, D, "method")
+
+
+@query(r"select doc_id, case when text is not null then 64 end dims, case when not regexp_matches(text, '\S') then 0.0 when text is not null then 1.0 end norm from documents")
+def hash_embed_norms(spark, d):
+    got = hash_embed(spark, d)
+    return got.select("doc_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dims"), F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))), 3).alias("norm"))
+
+
+@query(rf"""with {_CUT}, t as (select id || ':' || min(i) || '-' || max(i) id, id file_path, min(i) start_line, max(i) end_line, string_agg(line, chr(10) order by i) body from c where k > 0 group by c.id, k),
+ p as (select *, unnest(case when length(body) > 2000 then range(0, length(body), 1800) else [0] end) o from t)
+ select case when length(body) > 2000 then id || '#part' || cast(o / 1800 + 1 as bigint) else id end id, file_path, start_line, end_line from p where regexp_matches(substr(body, o + 1, 2000), '\S')""")
+def rag_index_parts(spark, d):
+    return rag_index(spark, d).select("id", "file_path", "start_line", "end_line")
+
+
+@query(f"with {WF} select time_series_id, ds, round(y, 6) y, count(*) over (partition by time_series_id) series_length, min(ds) over (partition by time_series_id) series_min_date, coalesce(y, 0) = 0 is_inactive from wf")
+def preprocess_panel(spark, d):
+    return r6(preprocess_pipeline(spark, d), "y").select(G, D, "y", "series_length", "series_min_date", (F.col("is_inactive") == 1).alias("is_inactive"))
+
+
+@query("""select p.time_series_id, cast(p.ds as date) ds, p.y, p.StateHoliday, s.StoreType, s.Assortment, s.PromoInterval, p.is_short_series from rossmann_panel p left join (select distinct * from rossmann_store) s
+ on try_cast(p.time_series_id as bigint) = s.Store where p.y > 0 and try_cast(p.time_series_id as bigint) is not null""")
+def retail_panel(spark, d):
+    """The read-outs as the public retail files have them, joined to their stores and named as a panel."""
+    p = spark.read.parquet(f"{d}/rossmann_panel.parquet")
+    train = p.select(F.expr("try_cast(time_series_id as bigint)").alias("Store"), F.date_format("ds", "yyyy-MM-dd").alias("Date"), F.col("y").alias("Sales"), F.lit(1).alias("Open"), "StateHoliday", "is_short_series").where("Store is not null")
+    store = spark.read.parquet(f"{d}/rossmann_store.parquet").dropDuplicates().select("Store", "StoreType", "Assortment", "PromoInterval")
+    return panel.retail_panel(train, store).select(G, D, "y", "StateHoliday", "StoreType", "Assortment", "PromoInterval", "is_short_series")
