@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidegrid.llm.chunking import split_texts
 from tidegrid.llm.leaks import find_leaks
 from tidegrid.llm.mixing import mix
-from tidegrid.llm.neighbours import nearest
+from tidegrid.llm.neighbours import nearest, usable
 from tidegrid.llm.toxicity import score_documents
+from tidegrid.operators.retrieval import search_many
 
 #: Vectors of a leaf for the ten nearest; tables of up to four leaves are searched whole, since half of a small table holds fewer of the true neighbours (0.89 of them in 2,987 vectors).
 LEAF = 2048
@@ -23,6 +24,16 @@ def p3_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return got.select("id_a", "id_b", F.round("cosine", 5).alias("cosine"))
 
 
+def p3_recall(spark: SparkSession, d: str) -> DataFrame:
+    """One row: the vectors whose chunk begins at a line divisible by 50, as a stated query set against all, and whether nine tenths of their exact ten nearest are among p3_neighbours."""
+    vectors = spark.read.parquet(f"{d}/rag_index.parquet").select("id", "embeddings").dropDuplicates(["id"])
+    ask = usable(vectors, "id", "embeddings", 64).join(vectors, "id").where(F.expr(r"cast(regexp_extract(id, ':(\\d+)-', 1) as int) % 50 = 0")).select(F.col("id").alias("id_a"), F.col("embeddings").alias("query"))
+    exact = search_many(vectors.where("size(embeddings) = 64"), ask, "id", "embeddings", "id_a", "query", k=11).where("id_a <> id")
+    exact = exact.withColumn("nth", F.row_number().over(Window.partitionBy("id_a").orderBy(F.desc("score"), "id"))).where("nth <= 10").select("id_a", F.col("id").alias("id_b"))  # at most 11 rows a query
+    hits = exact.join(p3_neighbours(spark, d).select("id_a", "id_b", F.lit(1).alias("hit")), ["id_a", "id_b"], "left")
+    return hits.agg(F.count_distinct("id_a").alias("n_queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Near duplicates lie in the first leaves that the queue gives; small leaves do."""
     got = nearest(spark.read.parquet(f"{d}/rag_index.parquet"), "id", "embeddings", 10, 0.92)
@@ -91,13 +102,15 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_neighbours, p3_found, p6_pieces, p6_found, p8_leaks, p8_found, p9_mix, p9_shares, p9_at_hand, p9_at_hand_shares, p10_scores, p10_rates, p10_found)}
+    return {f.__name__: f for f in (p3_neighbours, p3_recall, p3_found, p6_pieces, p6_found, p8_leaks, p8_found, p9_mix, p9_shares, p9_at_hand, p9_at_hand_shares, p10_scores, p10_rates, p10_found)}
 
 
 def sql() -> dict[str, str]:
     return {
         "p3_found": """with v as (select distinct id, embeddings::double[] e from rag_index where len(embeddings) = 64 and list_dot_product(embeddings::double[], embeddings::double[]) > 0)
  select a.id id_a, b.id id_b from v a join v b on a.id < b.id where list_cosine_similarity(a.e, b.e) >= 0.92""",
+        "p3_recall": r"""select count(distinct id) n_queries, true recall_reached from rag_index where len(embeddings) = 64 and list_dot_product(embeddings::double[], embeddings::double[]) > 0
+ and cast(regexp_extract(id, ':(\d+)-', 1) as int) % 50 = 0""",
         "p6_found": r"""select id, case when list_max(list_transform(regexp_split_to_array(text, '\r?\n'), lambda x: length(x))) > 2000 then 'forced' else 'lines' end kind
  from code_chunk where length(text) > 2000""",
     }
